@@ -96,15 +96,18 @@ def melt(df: DataFrame, ids: Sequence[str], columns: Sequence[str],
 
 def small_join(big: DataFrame, small: DataFrame, on, how: str = "inner",
                max_rows: int = BROADCAST_ROW_LIMIT, known_rows: int | None = None) -> DataFrame:
-    """Join; broadcast ``small`` only when its row count is at most ``max_rows``.
-
-    ``known_rows`` lets callers pass a bound they already know (e.g. number
-    of columns), otherwise the small side is counted (it is an aggregate,
-    so counting it is cheap).
+    """Join where one side is expected to be small.
+
+    With a static bound ``known_rows`` (e.g. number of columns, classes or
+    buckets) at most ``max_rows`` the small side is broadcast.  Without one,
+    no hint is given: adaptive execution measures the materialised small
+    side at runtime and broadcasts it only when it is under
+    ``spark.sql.adaptive.autoBroadcastJoinThreshold``; otherwise the join
+    shuffles (skew-split by AQE).
     """
-    n = known_rows if known_rows is not None else small.count()
-    side = F.broadcast(small) if n <= max_rows else small
-    return big.join(side, on=on, how=how)
+    if known_rows is not None and known_rows <= max_rows:
+        return big.join(F.broadcast(small), on=on, how=how)
+    return big.join(small, on=on, how=how)
 
 
 def bucket_bounds(df: DataFrame, order: str, buckets: int, accuracy: int = 10_000) -> list[float]:
@@ -149,8 +152,9 @@ def running_totals(df: DataFrame, keys: Sequence[str], order: str, sums: Sequenc
     wo = _win(keys).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.select(*keys, "_bucket",
                             *[F.coalesce(F.sum(f"_t_{s}").over(wo), F.lit(0)).alias(f"_o_{s}") for s in sums])
-    # offsets hold (#keys x buckets) rows
-    joined = small_join(b, offsets, on=[*keys, "_bucket"], how="inner")
+    # offsets hold (#keys x buckets) rows: bounded by ``buckets`` when there is no key
+    joined = small_join(b, offsets, on=[*keys, "_bucket"], how="inner",
+                        known_rows=(len(bounds) + 1) if not keys else None)
     wl = Window.partitionBy(*keys, "_bucket").orderBy(ordcol).rowsBetween(Window.unboundedPreceding, 0)
     out = joined.select(*df.columns,
                         *[(F.col(f"_o_{s}") + F.sum(col(s)).over(wl)).alias(f"{prefix}{s}") for s in sums])
@@ -186,11 +190,12 @@ def hash_rank(df: DataFrame, key_cols: Sequence[str], seed: int | str = 42,
     sizes = hist.groupBy(*strata).agg(F.sum("_c").alias(size_col))
     offs = cum.select(*strata, "_p", (F.col("cum__c") - F.col("_c")).alias("_off"))
     if strata:
-        offs = small_join(offs, sizes, on=strata, how="inner")
+        offs = offs.join(sizes, on=strata, how="inner")
     else:
         # one number: the table size
         offs = offs.withColumn(size_col, F.lit(sizes.first()[size_col] or 0).cast("long"))
+    # offsets: at most 16**prefix_chars rows per stratum
     joined = small_join(h, offs, on=[*strata, "_p"], how="inner",
-                        max_rows=BROADCAST_ROW_LIMIT)
+                        known_rows=16 ** prefix_chars if not strata else None)
     w = Window.partitionBy(*strata, "_p").orderBy("_h")
     return joined.withColumn(rank_col, F.col("_off") + F.row_number().over(w)).drop("_off", "_p")

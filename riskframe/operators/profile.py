@@ -146,8 +146,8 @@ def rare_categories(df: DataFrame, columns: Sequence[str] | None = None, thresho
     """(feature, value, count, share) with share of non-null < threshold."""
     dist = categorical_distribution(df, columns)
     totals = dist.groupBy("feature").agg(F.sum("count").alias("_total"))
-    # one row per feature
-    j = small_join(dist, totals, on="feature", how="inner")
+    # one row per feature: bounded by the column count
+    j = small_join(dist, totals, on="feature", how="inner", known_rows=len(categorical_columns(df, columns)))
     return j.select("feature", "value", "count", (F.col("count") / F.col("_total")).alias("share")) \
             .where(F.col("share") < threshold)
 
