@@ -31,7 +31,7 @@ def register(name: str, oracle: str | None = None):
 
 def load_all() -> None:
     """Import every query module (each registers itself)."""
-    from . import monitor_queries, profile_queries, scoring_queries  # noqa: F401
+    from . import monitor_queries, profile_queries, scoring_queries, stats_queries  # noqa: F401
 
 
 def queries() -> dict[str, Query]:
