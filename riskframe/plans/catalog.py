@@ -31,8 +31,8 @@ def register(name: str, oracle: str | None = None):
 
 def load_all() -> None:
     """Import every query module (each registers itself)."""
-    from . import (monitor_queries, profile_queries, scoring_queries, series_queries,  # noqa: F401
-                   stats_queries)
+    from . import (ml_queries, monitor_queries, profile_queries, scoring_queries,  # noqa: F401
+                   series_queries, stats_queries)
 
 
 def queries() -> dict[str, Query]:
