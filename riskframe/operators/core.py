@@ -61,6 +61,14 @@ def nan_to_null(df: DataFrame, columns: Sequence[str] | None = None) -> DataFram
     return df.withColumns({c: F.when(F.isnan(col(c)), F.lit(None)).otherwise(col(c)) for c in targets})
 
 
+def safe_corr(a: Column, b: Column) -> Column:
+    """Pairwise-complete Pearson r; null (not an ANSI divide-by-zero error)
+    when either side is constant.  Co-moment aggregates, numerically stable."""
+    a2 = F.when(b.isNotNull(), a.cast("double"))
+    b2 = F.when(a.isNotNull(), b.cast("double"))
+    return F.try_divide(F.covar_pop(a2, b2), F.stddev_pop(a2) * F.stddev_pop(b2))
+
+
 def _chunks(items: Sequence[str], size: int) -> list[Sequence[str]]:
     return [items[i:i + size] for i in range(0, len(items), size)] or [[]]
 

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .core import col, melt, numeric_columns, one_pass, small_join, string_columns
+from .core import col, melt, numeric_columns, one_pass, safe_corr, small_join, string_columns
 
 # ---------------------------------------------------------------------------
 # Fixed values that must equal the reference's for identical results.
@@ -261,7 +261,7 @@ def leakage_correlation(df: DataFrame, target: str = "target", top: int = 10,
     """|pearson(col, target)| per numeric column (pairwise complete), the
     top ``top`` by value, flagged when > threshold."""
     cols = numeric_columns(df, exclude=[target])
-    r = one_pass(df, cols, {"abs_corr": lambda c: F.abs(F.corr(c.cast("double"), col(target).cast("double")))})
+    r = one_pass(df, cols, {"abs_corr": lambda c: F.abs(safe_corr(c, col(target)))})
     return (r.where(F.col("abs_corr").isNotNull()).orderBy(F.desc("abs_corr"), "column").limit(top)
              .withColumn("high", F.col("abs_corr") > threshold))
 

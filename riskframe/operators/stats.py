@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import labels as L
-from .core import col, melt, numeric_columns, one_pass, small_join
+from .core import col, melt, numeric_columns, one_pass, safe_corr, small_join
 
 
 # --------------------------------------------------------------------------- F7
@@ -165,7 +165,7 @@ def pearson_pairs(df: DataFrame, columns: Sequence[str] | None = None) -> DataFr
     if not pairs:
         return df.sparkSession.createDataFrame([], "var1 string, var2 string, r double")
     structs = [F.struct(F.lit(a).alias("var1"), F.lit(b).alias("var2"),
-                        F.corr(col(a).cast("double"), col(b).cast("double")).alias("r")) for a, b in pairs]
+                        safe_corr(col(a), col(b)).alias("r")) for a, b in pairs]
     return df.agg(F.array(*structs).alias("_s")).select(F.inline("_s"))
 
 

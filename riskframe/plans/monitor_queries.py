@@ -241,8 +241,8 @@ alerts AS (
   SELECT 'performance_degradation', 'high', 'performance degradation detected' FROM rates
   WHERE coalesce(2 * precision * recall / nullif(precision + recall, 0), 0) < 0.7 AND model = 'discount_tax'
   UNION ALL
-  SELECT 'prediction_bias', 'medium', 'prediction bias detected' FROM
-    (SELECT attribute FROM gm WHERE ngroups > 1 GROUP BY attribute HAVING max(accuracy) - min(accuracy) > 0.1) LIMIT 1
+  SELECT DISTINCT 'prediction_bias', 'medium', 'prediction bias detected' FROM
+    (SELECT attribute FROM gm WHERE ngroups > 1 GROUP BY attribute HAVING max(accuracy) - min(accuracy) > 0.1)
 )
 SELECT * FROM alerts
 UNION ALL
