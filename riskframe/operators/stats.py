@@ -13,13 +13,11 @@ from collections.abc import Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.stat import Correlation
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import labels as L
-from .core import col, melt, numeric_columns, one_pass, safe_corr, small_join
+from .core import col, melt, numeric_columns, one_pass, running_totals, safe_corr, small_join
 
 
 # --------------------------------------------------------------------------- F7
@@ -30,17 +28,17 @@ def numeric_summary(df: DataFrame, columns: Sequence[str] | None = None, digits:
     p25/p75/p99 (linear interpolation), population skewness, excess
     kurtosis, the IQR as text and a skew verdict (|skew| <= .5 normal)."""
     cols = list(columns) if columns is not None else numeric_columns(df)
-    pct = (lambda c, p: F.percentile(c, p)) if exact else (lambda c, p: F.percentile_approx(c, p, 10000))
+    probs = F.array(*[F.lit(x) for x in (0.25, 0.5, 0.75, 0.99)])
+    # one quantile aggregate per column (a single value -> count map), not one per probability
+    pct = (lambda c: F.percentile(c, probs)) if exact else (lambda c: F.percentile_approx(c, probs, 10000))
     s = one_pass(df, cols, {
         "n_distinct": lambda c: F.approx_count_distinct(c).cast("double"),
         "mean": lambda c: F.avg(c).cast("double"),
-        "median": lambda c: pct(c, 0.5).cast("double"),
-        "p25": lambda c: pct(c, 0.25).cast("double"),
-        "p75": lambda c: pct(c, 0.75).cast("double"),
-        "p99": lambda c: pct(c, 0.99).cast("double"),
+        "q": lambda c: pct(c.cast("double")).cast("array<double>"),
         "skew": lambda c: F.skewness(c).cast("double"),
         "kurtosis": lambda c: F.kurtosis(c).cast("double"),
-    })
+    }).select("column", "n_distinct", "mean", F.col("q")[0].alias("p25"), F.col("q")[1].alias("median"),
+              F.col("q")[2].alias("p75"), F.col("q")[3].alias("p99"), "skew", "kurtosis")
     r = {k: F.round(k, digits).alias(k) for k in ("mean", "median", "p25", "p75", "p99", "skew", "kurtosis")}
     return s.where("n_distinct > 1").select(
         "column", *r.values(),
@@ -129,15 +127,32 @@ def pair_density(df: DataFrame, columns: Sequence[str] | None = None, bins: int
 
 # --------------------------------------------------------------------------- G1 / G2 / G8
 
+def rank_table(df: DataFrame, c: str, out: str) -> DataFrame:
+    """(value, tie-averaged 1-based rank) of column ``c``: value counts ->
+    distributed running totals (one row per distinct value)."""
+    counts = df.groupBy(col(c).alias("_v")).agg(F.count(F.lit(1)).alias("_n"))
+    cum = running_totals(counts, [], "_v", ["_n"])
+    return cum.select(F.col("_v").alias(f"_v_{out}"), (F.col("cum__n") - (F.col("_n") - 1) / 2.0).alias(out))
+
+
 def correlation_matrix(df: DataFrame, columns: Sequence[str], method: str = "pearson") -> DataFrame:
-    """Long (var1, var2, r) over complete-case rows via Spark ML's distributed
-    ``Correlation`` (Spearman ranks computed by a distributed sort)."""
+    """Long (var1, var2, r) over complete-case rows.  Pearson: one aggregate of
+    co-moments; Spearman: the same on tie-averaged ranks."""
     cc = df.select(*[col(c).cast("double").alias(c) for c in columns]).dropna()
-    vec = VectorAssembler(inputCols=list(columns), outputCol="_v").transform(cc).select("_v")
-    m = Correlation.corr(vec, "_v", method).first()[0].toArray()
-    rows = [(a, b, float(m[i, j]) if not np.isnan(m[i, j]) else None)
-            for i, a in enumerate(columns) for j, b in enumerate(columns) if i < j]
-    return df.sparkSession.createDataFrame(rows, "var1 string, var2 string, r double")
+    names = list(columns)
+    if method == "spearman":
+        # every rank table comes from the same base rows; each is joined back on its value
+        # (AQE splits a hot value on the data side)
+        tables = [rank_table(cc, c, f"_r{i}") for i, c in enumerate(columns)]
+        for i, (c, t) in enumerate(zip(columns, tables)):
+            cc = cc.join(t, col(c) == F.col(f"_v__r{i}"), "inner").drop(f"_v__r{i}")
+        names = [f"_r{i}" for i in range(len(columns))]
+    elif method != "pearson":
+        raise ValueError(f"unsupported method {method!r}")
+    pairs = [(i, j) for i in range(len(names)) for j in range(i + 1, len(names))]
+    structs = [F.struct(F.lit(columns[i]).alias("var1"), F.lit(columns[j]).alias("var2"),
+                        safe_corr(col(names[i]), col(names[j])).alias("r")) for i, j in pairs]
+    return cc.agg(F.array(*structs).alias("_s")).select(F.inline("_s"))
 
 
 def correlations(df: DataFrame, columns: Sequence[str] | None = None, methods: Sequence[str] = ("pearson",),
