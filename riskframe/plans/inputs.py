@@ -25,9 +25,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 # ---------------------------------------------------------------------------
 
 def applications(spark: SparkSession, sf_dir: str) -> DataFrame:
-    o = table(spark, sf_dir, "orders").select(
-        "o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority")
-    c = table(spark, sf_dir, "customer").select("c_custkey", "c_acctbal", "c_mktsegment", "c_nationkey")
+    return applications_from(table(spark, sf_dir, "orders"), table(spark, sf_dir, "customer"))
+
+
+def applications_from(orders: DataFrame, customer: DataFrame) -> DataFrame:
+    """Applications from an orders table or stream and the customer table."""
+    o = orders.select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority")
+    c = customer.select("c_custkey", "c_acctbal", "c_mktsegment", "c_nationkey")
     j = o.join(c, o.o_custkey == c.c_custkey, "inner")
     k, ck = F.col("o_orderkey"), F.col("o_custkey")
     emp = (F.when(k % 13 == 0, "< 1 year").when(k % 13 == 1, "1 year")

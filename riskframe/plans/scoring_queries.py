@@ -65,3 +65,10 @@ FROM scored GROUP BY segment
 def scorecard_by_segment(spark, sf_dir):
     """Flagship: applications → validation → scorecard → per-segment approval."""
     return S.scorecard_summary(I.applications(spark, sf_dir), by="segment")
+
+
+@register("scorecard_by_segment_stream", FLAGSHIP_SQL)
+def scorecard_by_segment_stream(spark, sf_dir):
+    """M6: the flagship over an order stream (stream-static join to customers)."""
+    from ..streaming.monitors import scorecard_summary_stream
+    return scorecard_summary_stream(spark, sf_dir)

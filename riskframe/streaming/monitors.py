@@ -140,6 +140,21 @@ def prediction_metrics_stream(spark: SparkSession, sf_dir: str, window: str = "1
     return finish_metrics(run_to_table(prediction_metrics(log, "ts", window), spark))
 
 
+def application_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Loan applications as a stream: new order files joined (stream-static,
+    broadcast-free equi-join) to the customer table."""
+    from ..plans import inputs as I
+    orders = read_table_stream(spark, sf_dir, "orders")
+    return I.applications_from(orders, I.table(spark, sf_dir, "customer"))
+
+
+def scorecard_summary_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M6 end to end: application stream → validation → scorecard → per-segment
+    totals (complete mode; bounded by the number of segments)."""
+    from ..operators.scoring import scorecard_summary
+    return run_to_table(scorecard_summary(application_stream(spark, sf_dir), by="segment"), spark)
+
+
 def score_stream(apps_stream: DataFrame) -> tuple[DataFrame, DataFrame]:
     """M6: stateless scorecard over an application stream → (scored valid, quarantine)."""
     v = validate_applications(apps_stream)
