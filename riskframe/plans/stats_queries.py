@@ -337,3 +337,23 @@ FROM (""" + _suite_union() + ") t(idx, expectation_type, col, success, unexpecte
 def expectation_report_cards(spark, sf_dir):
     """I8 summary (the failed list is checked by the unit tests)."""
     return Q.expectation_report(Q.run_expectations(_cards_for_suite(spark, sf_dir))).drop("failed")
+
+
+# --------------------------------------------------------------------------- F8
+
+KDE_COLS = ["l_quantity", "l_discount"]
+
+
+@register("kde_peak_lines", I.with_ctes(I.LOAN_TABLE_SQL) + f"""
+, v AS ({_union([f"SELECT '{c}' AS col, CAST({c} AS DOUBLE) AS x FROM loan_table WHERE {c} IS NOT NULL" for c in KDE_COLS])}),
+st AS (SELECT col, count(*) AS n, stddev_samp(x) AS sd, min(x) AS lo, max(x) AS hi FROM v GROUP BY col),
+c AS (SELECT col, x, count(*) AS cnt FROM v GROUP BY ALL),
+g AS (SELECT st.*, lo + i * (hi - lo) / 999 AS gx, sd * pow(n, -0.2) AS h FROM st, range(0, 1000) r(i)
+      WHERE n > 1 AND sd > 0 AND hi > lo),
+d AS (SELECT g.col, g.gx, sum(cnt * exp(-0.5 * pow((g.gx - c.x) / g.h, 2))) / (g.n * g.h * sqrt(2 * pi())) AS dens
+      FROM g JOIN c ON g.col = c.col WHERE abs(g.gx - c.x) <= 8 * g.h GROUP BY g.col, g.gx, g.n, g.h)
+SELECT col AS "column", round(arg_max(gx, dens), 6) AS peak, round(max(dens), 6) AS peak_density FROM d GROUP BY col""")
+def kde_peak_lines(spark, sf_dir):
+    """F8: KDE mode of quantity and discount (exact: values compressed to counts)."""
+    k = S.kde_peak(I.loan_table(spark, sf_dir), KDE_COLS, bins=None)
+    return k.select("column", _r("peak"), _r("peak_density"))

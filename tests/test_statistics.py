@@ -79,3 +79,13 @@ def test_group_bias_ignores_single_group(spark):
                                "label int, prediction int, sex string, region string")
     g = J.group_bias(df, ["sex", "region"]).collect()
     assert {r.attribute for r in g} == {"sex"}
+
+
+def test_kde_peak_matches_numpy(spark):
+    rng = np.random.default_rng(11)
+    x = np.concatenate([rng.normal(0, 1, 300), rng.normal(4, 0.5, 200)]).round(3)
+    got = S.kde_peak(spark.createDataFrame(pd.DataFrame({"x": x})), ["x"], bins=None).first()
+    h = x.std(ddof=1) * len(x) ** -0.2
+    grid = np.linspace(x.min(), x.max(), 1000)
+    dens = np.exp(-0.5 * ((grid[:, None] - x[None, :]) / h) ** 2).sum(1) / (len(x) * h * np.sqrt(2 * np.pi))
+    assert abs(got.peak - grid[dens.argmax()]) < 1e-9 and abs(got.peak_density - dens.max()) < 1e-9
