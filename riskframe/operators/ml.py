@@ -138,6 +138,8 @@ def cross_validate(df: DataFrame, kind: str, numeric: Sequence[str], categorical
         s = score(m, te, kind, label).withColumn("fold", F.lit(f))
         scored = s if scored is None else scored.unionByName(s)
     # fold scores are small (one row per test row); materialise, then release the input
+    from ..session import ensure_checkpoint_dir
+    ensure_checkpoint_dir(df.sparkSession)
     scored = scored.checkpoint(eager=True)
     df.unpersist()
     per_fold = binary_metrics(scored, ["fold"])

@@ -51,7 +51,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """
     path = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not path:
-        raise RuntimeError("spark.checkpoint.dir is unset: name a shared folder for lineage cuts")
+        # unset only outside a configured cluster (tests, local runs): a fresh local folder
+        path = tempfile.mkdtemp(prefix="riskframe-ckpt-")
     if not spark.sparkContext.getCheckpointDir():
         spark.sparkContext.setCheckpointDir(path)
     return path
