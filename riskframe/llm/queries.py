@@ -8,12 +8,14 @@ from pyspark.sql import DataFrame, SparkSession
 
 from riskframe.llm.fingerprints import op2_document_fingerprints
 from riskframe.llm.language import op9_language_id
+from riskframe.llm.neighbours import op7_nearest_neighbours
 from riskframe.llm.packing import op3_best_fit_packing
 from riskframe.llm.quality import op1_quality_classifier
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_quality_classifier, op2_document_fingerprints, op3_best_fit_packing, op9_language_id)}
+    return {f.__name__: f for f in (op1_quality_classifier, op2_document_fingerprints, op3_best_fit_packing,
+                                     op7_nearest_neighbours, op9_language_id)}
 
 
 def oracle_sql() -> dict[str, str]:
