@@ -21,6 +21,7 @@ import hashlib
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame
@@ -116,9 +117,9 @@ def likeness(a: np.ndarray, b: np.ndarray, some_a: bool, some_b: bool) -> float:
 def fingerprint(docs: DataFrame, text: str = "text", out: str = "fingerprint") -> DataFrame:
     """``docs`` plus the fingerprint of each text."""
     @F.pandas_udf("string")
-    def printed(batches):
+    def printed(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for texts in batches:
-            yield type(texts)(fingerprints([t if isinstance(t, str) else "" for t in texts])[0], dtype=object)
+            yield pd.Series(fingerprints([t if isinstance(t, str) else "" for t in texts])[0], dtype=object)
 
     return docs.withColumn(out, printed(F.col(f"`{text}`")))
 
