@@ -10,7 +10,7 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-from riskframe.llm import language, packing
+from riskframe.llm import language, lines, mixing, near_dups, packing
 from riskframe.llm.common import prepare, table
 from riskframe.session import ensure_checkpoint_dir
 
@@ -19,7 +19,27 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language the models recognise (operator 9)."""
     prepare(spark)
     model = language.fit(docs)
-    return language.identify(docs, model).where("NOT rejected").select(*docs.columns)
+    return language.identify(docs, model).where("NOT rejected").select(*[f"`{c}`" for c in docs.columns])
+
+
+def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without the lines that align with an earlier document (operator 10)."""
+    prepare(spark)
+    return lines.deduped(docs)
+
+
+def minhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each near-duplicate class (operator 8)."""
+    prepare(spark)
+    return near_dups.representatives(docs)
+
+
+def mix_to_targets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents as often as their mixing rate says (operator 5); the targets
+    flatten the languages' shares and thin none of them."""
+    prepare(spark)
+    mixed = mixing.mix(docs, mixing.labelled_by_language(docs))
+    return mixing.repeated(mixed, docs.columns)
 
 
 def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -28,7 +48,8 @@ def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     return packing.pack(packing.pieces(docs))
 
 
-STAGES = [("language_id", language_id), ("best_fit_packing", best_fit_packing)]
+STAGES = [("language_id", language_id), ("line_dedup", line_dedup), ("minhash_near_dedup", minhash_near_dedup),
+          ("mix_to_targets", mix_to_targets), ("best_fit_packing", best_fit_packing)]
 
 #: models, alignments and packing: SQL cannot express the stages
 ORACLE_SQL = None

@@ -10,6 +10,7 @@ from riskframe.llm.counts import op6_token_counts
 from riskframe.llm.fingerprints import op2_document_fingerprints
 from riskframe.llm.language import op9_language_id
 from riskframe.llm.lines import op10_line_dedup
+from riskframe.llm.mixing import op5_soft_mixing
 from riskframe.llm.near_dups import op8_minhash_near_dedup
 from riskframe.llm.neighbours import op7_nearest_neighbours
 from riskframe.llm.packing import op3_best_fit_packing
@@ -19,8 +20,8 @@ from riskframe.llm.urls import op4_url_filters
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (op1_quality_classifier, op2_document_fingerprints, op3_best_fit_packing,
-                                     op4_url_filters, op6_token_counts, op7_nearest_neighbours, op8_minhash_near_dedup, op9_language_id,
-                                     op10_line_dedup)}
+                                     op4_url_filters, op5_soft_mixing, op6_token_counts, op7_nearest_neighbours,
+                                     op8_minhash_near_dedup, op9_language_id, op10_line_dedup)}
 
 
 def oracle_sql() -> dict[str, str]:
