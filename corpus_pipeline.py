@@ -36,9 +36,9 @@ def minhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 def mix_to_targets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as often as their mixing rate says (operator 5); the targets
-    flatten the languages' shares and thin none of them."""
+    flatten the languages' shares and no document's rate falls below one."""
     prepare(spark)
-    mixed = mixing.mix(docs, mixing.labelled_by_language(docs))
+    mixed = mixing.mix(docs, mixing.labelled_by_language(docs), least=1.0)
     return mixing.repeated(mixed, docs.columns)
 
 

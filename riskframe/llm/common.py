@@ -127,7 +127,7 @@ def shingle_hashes(words: np.ndarray, counts: np.ndarray, k: int) -> tuple[np.nd
     acc = np.zeros(n, np.uint64)
     for j in range(k):
         nxt = np.zeros(n, np.uint64)
-        nxt[: n - j] = words[j:]
+        nxt[: max(0, n - j)] = words[j:]
         inside = left > j
         acc = np.where(inside, acc * np.uint64(0xD6E8FEB86659FD93) + nxt + np.uint64(1), acc)
     is_start = (left >= k)

@@ -145,9 +145,13 @@ def in_blocks(docs: DataFrame, blocks: int) -> DataFrame:
                                                 100 * blocks)).first()[0]
         borders = sorted({float(b) for b in found or []})
     # runs are counted from the highest ids; equal ids share a run
-    cut = Bucketizer(splits=[-float("inf"), *borders, float("inf")], inputCol="at", outputCol="bucket", handleInvalid="keep")
-    with_run = lambda df: cut.transform(df.withColumn("at", F.col("key").cast("double"))).withColumn(
-        "run", (F.lit(len(borders)) - F.col("bucket")).cast("int")).drop("at", "bucket")
+    def with_run(df: DataFrame) -> DataFrame:
+        if not borders:
+            return df.withColumn("run", F.lit(0))
+        cut = Bucketizer(splits=[-float("inf"), *borders, float("inf")], inputCol="at", outputCol="bucket", handleInvalid="keep")
+        return cut.transform(df.withColumn("at", F.col("key").cast("double"))).withColumn(
+            "run", (F.lit(len(borders)) - F.col("bucket")).cast("int")).drop("at", "bucket")
+
     rows = with_run(docs.select(key.alias("key"), "doc_id", F.coalesce("text", F.lit("")).alias("text")))
     tops = with_run(docs.select(key.alias("key"))).groupBy("run").agg(F.max("key").alias("top")).orderBy("run").collect()
     # at most ``blocks`` rows: the first id of each run also goes to the run before (the first of all to the last run)

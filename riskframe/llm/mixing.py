@@ -5,9 +5,9 @@ labelled table, gives each text a posterior over domains.  Tokens are
 white-space-separated words.  The expected tokens of domain d at rates r are
 A_d = sum_i n_i p_id r_i.  Starting from rate one, projected gradient steps
 
-    r_i <- max(0, r_i - sum_d p_id (A_d - target_d) / M_d),   M_d = A_d at rate one,
+    r_i <- max(least, r_i - sum_d p_id (A_d - target_d) / M_d),   M_d = A_d at rate one,
 
-reduce the squared distance to the target totals; scaled by M the largest
+(``least`` is 0, or 1 where no document may go) reduce the squared distance to the target totals; scaled by M the largest
 curvature is one, so the full step is safe.  Each step is one aggregate over
 the texts; the rate of a text follows from its posterior and the steps so far,
 so that only one number per domain comes to the driver in each step.  Rates
@@ -97,22 +97,22 @@ def posteriors(docs: DataFrame, domains: list[str], weights: DataFrame, text: st
                       *[(r / total).alias(f"p{i}") for i, r in enumerate(raw)]).checkpoint()
 
 
-def rate_of(steps: list[list[float]]) -> Column:
+def rate_of(steps: list[list[float]], least: float = 0.0) -> Column:
     """The rate of a text after these steps (one number per domain each)."""
     rate = F.lit(1.0)
     for step in steps:
         move = reduce(lambda a, b: a + b, [F.col(f"p{i}") * F.lit(float(g)) for i, g in enumerate(step)])
-        rate = F.greatest(F.lit(0.0), rate - move)
+        rate = F.greatest(F.lit(float(least)), rate - move)
     return rate
 
 
-def totals(known: DataFrame, size: int, steps: list[list[float]]) -> list[float]:
-    r = rate_of(steps)
+def totals(known: DataFrame, size: int, steps: list[list[float]], least: float = 0.0) -> list[float]:
+    r = rate_of(steps, least)
     row = known.agg(*[F.sum(F.col("rows") * F.col("tokens") * F.col(f"p{i}") * r).alias(f"a{i}") for i in range(size)]).first()
     return [float(v or 0.0) for v in row]
 
 
-def solve(known: DataFrame, targets: list[float], tolerance: float = TOLERANCE, most: int = STEPS) -> list[list[float]]:
+def solve(known: DataFrame, targets: list[float], tolerance: float = TOLERANCE, most: int = STEPS, least: float = 0.0) -> list[list[float]]:
     """Steps of the projected gradient until every total is within ``tolerance``
     of its target, relative to the sum of targets."""
     start = totals(known, len(targets), [])
@@ -122,7 +122,7 @@ def solve(known: DataFrame, targets: list[float], tolerance: float = TOLERANCE,
         if max(abs(a - t) for a, t in zip(now, targets)) <= tolerance * max(sum(targets), 1.0):
             break
         steps.append([(a - t) / m if m > 0 else 0.0 for a, t, m in zip(now, targets, start)])
-        now = totals(known, len(targets), steps)
+        now = totals(known, len(targets), steps, least)
     return steps
 
 
@@ -135,11 +135,12 @@ def flattened_targets(own: list[float], power: float = FLATTEN, headroom: float
 
 
 def mix(docs: DataFrame, labelled: DataFrame, weights: dict[str, float] | None = None, total: float | None = None,
-        key: str = "doc_id", text: str = "text") -> DataFrame:
+        key: str = "doc_id", text: str = "text", least: float = 0.0) -> DataFrame:
     """``docs`` plus domain (most probable), posterior, tokens, rate and copies.
 
     ``weights``: target share of each domain (and ``total`` tokens, by default
-    the corpus' own); without them the corpus' shares are flattened.
+    the corpus' own); without them the corpus' shares are flattened.  No rate
+    falls below ``least``.
     """
     domains, model = fit(labelled)
     none = F.struct(F.lit(None).cast("string").alias("domain"), F.lit(0.0).alias("posterior"), F.lit(0).cast("long").alias("tokens"),
@@ -154,12 +155,12 @@ def mix(docs: DataFrame, labelled: DataFrame, weights: dict[str, float] | None =
     else:
         whole = sum(weights.get(d, 0.0) for d in domains) or 1.0
         targets = [(total if total is not None else sum(own)) * weights.get(d, 0.0) / whole for d in domains]
-    steps = solve(known, targets)
+    steps = solve(known, targets, least=least)
     p = [F.col(f"p{i}") for i in range(len(domains))]
     best = F.greatest(*p) if len(p) > 1 else p[0]
     domain = F.coalesce(*[F.when(c == best, F.lit(d)) for c, d in zip(p, domains)])
     rates = known.select(F.col("h1").alias("__h1"), F.col("h2").alias("__h2"), F.struct(
-        domain.alias("domain"), best.alias("posterior"), "tokens", rate_of(steps).alias("rate")).alias("__mix"))
+        domain.alias("domain"), best.alias("posterior"), "tokens", rate_of(steps, least).alias("rate")).alias("__mix"))
     h1, h2 = _hashes(text)
     got = docs.withColumn("__h1", h1).withColumn("__h2", h2).withColumn("__u", hash_share(key, seed="mix-copies"))
     got = got.join(rates, ["__h1", "__h2"], "left")
