@@ -41,11 +41,16 @@ def duplicate_rows(df: DataFrame) -> DataFrame:
 
     Grouping is partial-aggregated map-side, so a heavily repeated row is
     one row per task before the shuffle; the copies are re-expanded only
-    for the output.
+    for the output, in chunks that are dealt out again.
     """
     cols = [col(c) for c in df.columns]
     g = df.groupBy(*cols).agg(F.count(F.lit(1)).alias("_n")).where("_n > 1")
-    return g.withColumn("_copy", F.explode(F.sequence(F.lit(2), F.col("_n").cast("int")))).drop("_n", "_copy")
+    step = 10_000
+    chunks = F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("_n") - 2) / step).cast("long")))
+    g = g.withColumn("_chunk", chunks)
+    g = g.withColumn("_m", F.least(F.lit(step).cast("long"), F.col("_n") - 1 - F.col("_chunk") * step))
+    g = g.repartition(*cols, F.col("_chunk"))
+    return g.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_m")))).drop("_n", "_m", "_chunk", "_copy")
 
 
 def is_binary_01(df: DataFrame, c: str) -> DataFrame:
@@ -121,18 +126,21 @@ def scale_each_numeric(df: DataFrame, exclude: Sequence[str] = ()) -> DataFrame:
 
 
 def one_hot_drop_first(df: DataFrame, columns: Sequence[str], fit_on: DataFrame | None = None,
-                       max_categories: int = 1000) -> DataFrame:
+                       max_categories: int = 1000, categories: dict[str, Sequence[str]] | None = None) -> DataFrame:
     """E5: indicator columns ``<col>_<value>`` for every category but the first
-    (sorted); unseen values get all zeros.  The category list becomes the
-    output schema, so it must be bounded: more than ``max_categories``
-    distinct values is an error (use the ML encoder for such columns)."""
+    (sorted); unseen and null values get all zeros.  ``categories`` names the
+    list of a column; else it is read from the data.  The list becomes the
+    output schema: beyond ``max_categories`` name it or use the ML encoder."""
     src = fit_on if fit_on is not None else df
     out = df
     for c in columns:
-        cats = src.agg(F.array_sort(F.collect_set(col(c).cast("string"))).alias("v")).first()["v"] or []
-        if len(cats) > max_categories:
-            raise ValueError(f"{c}: {len(cats)} categories exceed {max_categories}")
-        out = out.withColumns({f"{c}_{v}": (col(c).cast("string") == F.lit(v)).cast("double")
+        cats = list((categories or {}).get(c, ()))
+        if not cats:
+            found = src.select(col(c).cast("string").alias("v")).where("v IS NOT NULL").distinct().limit(max_categories + 1).collect()
+            cats = sorted(r["v"] for r in found)
+            if len(cats) > max_categories:
+                raise ValueError(f"{c} has more than {max_categories} categories: name them in ``categories``")
+        out = out.withColumns({f"{c}_{v}": F.coalesce(col(c).cast("string") == F.lit(v), F.lit(False)).cast("double")
                                for v in cats[1:]})
     return out
 
@@ -161,6 +169,3 @@ def category_union(a: DataFrame, b: DataFrame, keys: Sequence[str] = ("column",
         b.withColumnRenamed(value, f"{value}_b"), on=list(keys), how="full_outer")
     return j.fillna(0.0, subset=[f"{value}_a", f"{value}_b"])
 
-
-def string_features(df: DataFrame, exclude: Sequence[str] = ()) -> list[str]:
-    return string_columns(df, exclude)

@@ -14,6 +14,7 @@ bounded by construction (number of columns, number of buckets).
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable, Iterable, Sequence
 from functools import reduce
 
@@ -118,14 +119,27 @@ def small_join(big: DataFrame, small: DataFrame, on, how: str = "inner",
     return big.join(small, on=on, how=how)
 
 
+def keyed_join(big: DataFrame, small: DataFrame, keys: Sequence[str], how: str = "inner",
+               known_rows: int | None = None, max_rows: int = BROADCAST_ROW_LIMIT) -> DataFrame:
+    """Join on ``keys`` where null equals null (a null group is a group)."""
+    side = small.withColumnsRenamed({k: f"_k_{i}" for i, k in enumerate(keys)})
+    if known_rows is not None and known_rows <= max_rows:
+        side = F.broadcast(side)
+    on = None
+    for i, k in enumerate(keys):
+        cond = big[f"`{k}`"].eqNullSafe(side[f"_k_{i}"])
+        on = cond if on is None else on & cond
+    return big.join(side, on, how).drop(*[f"_k_{i}" for i in range(len(keys))])
+
+
 def bucket_bounds(df: DataFrame, order: str, buckets: int, accuracy: int = 10_000) -> list[float]:
     """Approximate equi-depth boundaries of ``order`` (a bounded list on the driver)."""
     if buckets <= 1:
         return []
     probs = [i / buckets for i in range(1, buckets)]
     row = df.agg(F.percentile_approx(col(order).cast("double"), probs, accuracy).alias("b")).first()
-    bounds = sorted({float(b) for b in (row["b"] or []) if b is not None})
-    return bounds
+    # infinities and NaN are no borders: the outer buckets hold them
+    return sorted({float(b) for b in (row["b"] or []) if b is not None and math.isfinite(b)})
 
 
 def assign_bucket(df: DataFrame, order: str, bounds: list[float], out: str = "_bucket") -> DataFrame:
@@ -161,9 +175,9 @@ def running_totals(df: DataFrame, keys: Sequence[str], order: str, sums: Sequenc
     offsets = totals.select(*keys, "_bucket",
                             *[F.coalesce(F.sum(f"_t_{s}").over(wo), F.lit(0)).alias(f"_o_{s}") for s in sums])
     # offsets hold (#keys x buckets) rows: bounded by ``buckets`` when there is no key
-    joined = small_join(b, offsets, on=[*keys, "_bucket"], how="inner",
+    joined = keyed_join(b, offsets, [*keys, "_bucket"],
                         known_rows=(len(bounds) + 1) if not keys else None)
-    wl = Window.partitionBy(*keys, "_bucket").orderBy(ordcol).rowsBetween(Window.unboundedPreceding, 0)
+    wl = Window.partitionBy(*keys, "_bucket").orderBy(ordcol, F.desc(order) if descending else order).rowsBetween(Window.unboundedPreceding, 0)
     out = joined.select(*df.columns,
                         *[(F.col(f"_o_{s}") + F.sum(col(s)).over(wl)).alias(f"{prefix}{s}") for s in sums])
     return out
@@ -198,12 +212,12 @@ def hash_rank(df: DataFrame, key_cols: Sequence[str], seed: int | str = 42,
     sizes = hist.groupBy(*strata).agg(F.sum("_c").alias(size_col))
     offs = cum.select(*strata, "_p", (F.col("cum__c") - F.col("_c")).alias("_off"))
     if strata:
-        offs = offs.join(sizes, on=strata, how="inner")
+        offs = keyed_join(offs, sizes, strata)
     else:
         # one number: the table size
         offs = offs.withColumn(size_col, F.lit(sizes.first()[size_col] or 0).cast("long"))
     # offsets: at most 16**prefix_chars rows per stratum
-    joined = small_join(h, offs, on=[*strata, "_p"], how="inner",
+    joined = keyed_join(h, offs, [*strata, "_p"],
                         known_rows=16 ** prefix_chars if not strata else None)
     w = Window.partitionBy(*strata, "_p").orderBy("_h")
     return joined.withColumn(rank_col, F.col("_off") + F.row_number().over(w)).drop("_off", "_p")

@@ -15,7 +15,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .core import col, running_totals
+from .core import col, keyed_join, running_totals
 
 EPS = 1e-15
 
@@ -79,7 +79,7 @@ def binary_metrics(df: DataFrame, by: Sequence[str] = (), label: str = "label",
     r = _rates(tn, fp, fn, tp)
     m = c.select(*by, *[v.alias(k) for k, v in r.items()], (tn + fp + fn + tp).alias("n"))
     auc = roc_auc(df, by, label, score)
-    return m.join(auc, on=list(by), how="left") if by else m.join(auc, how="inner")
+    return keyed_join(m, auc, list(by), "left") if by else m.join(auc, how="inner")
 
 
 def performance(df: DataFrame, label: str = "label", prediction: str = "prediction",
@@ -94,7 +94,7 @@ def roc_curve(df: DataFrame, by: Sequence[str] = (), label: str = "label", score
     sc = score_counts(df, by, label, score)
     cum = running_totals(sc, by, "score", ["pos", "neg"], descending=True)
     tot = sc.groupBy(*by).agg(F.sum("pos").alias("P"), F.sum("neg").alias("N"))
-    j = cum.join(tot, on=list(by), how="inner") if by else cum.join(tot, how="inner")
+    j = keyed_join(cum, tot, list(by)) if by else cum.join(tot, how="inner")
     pts = j.select(*by, F.col("score").alias("threshold"), _zdiv(F.col("cum_neg"), F.col("N")).alias("fpr"),
                    _zdiv(F.col("cum_pos"), F.col("P")).alias("tpr"))
     start = tot.select(*by, F.lit(None).cast("double").alias("threshold"), F.lit(0.0).alias("fpr"),
@@ -107,7 +107,7 @@ def pr_curve(df: DataFrame, by: Sequence[str] = (), label: str = "label", score:
     sc = score_counts(df, by, label, score)
     cum = running_totals(sc, by, "score", ["pos", "neg"], descending=True)
     tot = sc.groupBy(*by).agg(F.sum("pos").alias("P"))
-    j = cum.join(tot, on=list(by), how="inner") if by else cum.join(tot, how="inner")
+    j = keyed_join(cum, tot, list(by)) if by else cum.join(tot, how="inner")
     pts = j.select(*by, F.col("score").alias("threshold"),
                    _zdiv(F.col("cum_pos"), F.col("cum_pos") + F.col("cum_neg")).alias("precision"),
                    _zdiv(F.col("cum_pos"), F.col("P")).alias("recall"))

@@ -33,8 +33,6 @@ LR_MAX_ITER = 1000
 LR_GRID_C = [0.1, 1.0, 10.0]
 RF_TREES, RF_DEPTH = 50, 10
 GBT_ITER, GBT_STEP, GBT_DEPTH = 100, 0.1, 6
-MODEL_FALLBACK = ["best_tuned", "best", "catboost", ""]     # A8: first directory name matching wins
-SKIP_MODEL_NAMES = ["scaler", "preprocessor", "feature"]      # A7: never loaded as models
 
 
 def _features(numeric: Sequence[str], categorical: Sequence[str], encode: str = "onehot",
@@ -60,24 +58,24 @@ def _features(numeric: Sequence[str], categorical: Sequence[str], encode: str =
 
 
 def build_pipeline(kind: str, numeric: Sequence[str], categorical: Sequence[str] = (), label: str = "label",
-                   weight: str | None = None, n: int | None = None, fast: bool = False, **params) -> Pipeline:
+                   weight: str | None = None, n: int | None = None, **params) -> Pipeline:
     """K1–K4: logistic regression (scaled, L2, C → regParam = 1/(C·n)), random
     forest, or gradient-boosted trees on target-encoded categoricals."""
     if kind == "logistic_regression":
         stages = _features(numeric, categorical, "onehot", label, scale=True)
         c = params.get("C", 1.0)
-        clf = LogisticRegression(featuresCol="features", labelCol=label, maxIter=params.get("maxIter", 100 if fast else LR_MAX_ITER),
+        clf = LogisticRegression(featuresCol="features", labelCol=label, maxIter=params.get("maxIter", LR_MAX_ITER),
                                  regParam=1.0 / (c * n) if n else 0.0, elasticNetParam=0.0)
     elif kind == "random_forest":
         stages = _features(numeric, categorical, "onehot", label)
         clf = RandomForestClassifier(featuresCol="features_raw", labelCol=label, seed=42,
-                                     numTrees=params.get("numTrees", 10 if fast else RF_TREES),
+                                     numTrees=params.get("numTrees", RF_TREES),
                                      maxDepth=params.get("maxDepth", RF_DEPTH),
                                      minInstancesPerNode=params.get("minInstancesPerNode", 1))
     elif kind == "gradient_boosting":
         stages = _features(numeric, categorical, "target", label)
         clf = GBTClassifier(featuresCol="features_raw", labelCol=label, seed=42,
-                            maxIter=params.get("maxIter", 10 if fast else GBT_ITER),
+                            maxIter=params.get("maxIter", GBT_ITER),
                             stepSize=params.get("stepSize", GBT_STEP), maxDepth=params.get("maxDepth", GBT_DEPTH))
     else:
         raise ValueError(f"unknown model kind {kind!r}")
@@ -98,7 +96,7 @@ def score(model: PipelineModel, df: DataFrame, name: str, label: str = "label",
 def train_models(train: DataFrame, numeric: Sequence[str], categorical: Sequence[str] = (),
                  label: str = "label", kinds: Sequence[str] = ("logistic_regression", "random_forest",
                                                                "gradient_boosting"),
-                 balanced: bool = False, fast: bool = False) -> tuple[dict, dict]:
+                 balanced: bool = False) -> tuple[dict, dict]:
     """Fit every model kind; a failing model is isolated: ``(models, errors)``."""
     data = (with_class_weights(train, label, "weight") if balanced else train).persist()
     try:   # iterative learners re-read their input many times: persist it only around the fits
@@ -107,7 +105,7 @@ def train_models(train: DataFrame, numeric: Sequence[str], categorical: Sequence
         for k in kinds:
             try:
                 models[k] = build_pipeline(k, numeric, categorical, label, "weight" if balanced else None,
-                                           n=n, fast=fast).fit(data)
+                                           n=n).fit(data)
             except Exception as e:  # isolate the failing model, as the reference does
                 errors[k] = f"{type(e).__name__}: {e}"
     finally:
@@ -125,7 +123,7 @@ def evaluate_models(models: dict, test: DataFrame, label: str = "label") -> Data
 
 
 def cross_validate(df: DataFrame, kind: str, numeric: Sequence[str], categorical: Sequence[str] = (),
-                   label: str = "label", fold: str = "fold", fast: bool = False, **params) -> DataFrame:
+                   label: str = "label", fold: str = "fold", **params) -> DataFrame:
     """K5: per-fold metrics and their mean / population std (fold column from D3).
     Every fold model scores its held-out rows; all folds are then measured
     by one grouped aggregate."""
@@ -134,7 +132,7 @@ def cross_validate(df: DataFrame, kind: str, numeric: Sequence[str], categorical
     scored = None
     for f in sorted(k):
         tr, te = df.where(F.col(fold) != f), df.where(F.col(fold) == f)
-        m = build_pipeline(kind, numeric, categorical, label, n=tr.count(), fast=fast, **params).fit(tr)
+        m = build_pipeline(kind, numeric, categorical, label, n=tr.count(), **params).fit(tr)
         s = score(m, te, kind, label).withColumn("fold", F.lit(f))
         scored = s if scored is None else scored.unionByName(s)
     # fold scores are small (one row per test row); materialise, then release the input
@@ -150,14 +148,13 @@ def cross_validate(df: DataFrame, kind: str, numeric: Sequence[str], categorical
 
 
 def grid_search(df: DataFrame, kind: str, numeric: Sequence[str], categorical: Sequence[str] = (),
-                label: str = "label", fold: str = "fold", grid: dict | None = None, parallelism: int = 4,
-                fast: bool = False):
+                label: str = "label", fold: str = "fold", grid: dict | None = None, parallelism: int = 4):
     """K6: ``CrossValidator`` over a parameter grid with a fold column, scored by
     ROC AUC; returns (best model, results table of params → mean AUC)."""
     df = df.persist()
     n = df.count()
     k = df.select(F.max(fold)).first()[0] + 1
-    pipe = build_pipeline(kind, numeric, categorical, label, n=n, fast=fast)
+    pipe = build_pipeline(kind, numeric, categorical, label, n=n)
     clf = pipe.getStages()[-1]
     builder = ParamGridBuilder()
     for p, values in (grid or {}).items():
@@ -183,20 +180,23 @@ def param_importance(results: DataFrame, limit: int = 6) -> DataFrame:
     e = results.select(F.explode("params").alias("param", "value"), "mean_auc")
     per_value = e.groupBy("param", "value").agg(F.avg("mean_auc").alias("m"))
     return (per_value.groupBy("param").agg((F.max("m") - F.min("m")).alias("importance"))
-            .orderBy(F.desc("importance")).limit(limit))
+            .orderBy("param").limit(limit).orderBy(F.desc("importance"), "param"))
 
 
-def feature_importance(model: PipelineModel) -> dict[str, float] | None:
-    """Name → importance for tree models (None when unsupported)."""
+def feature_importance(model: PipelineModel, data: DataFrame) -> dict[str, float] | None:
+    """Source column → importance for tree models (None when unsupported);
+    the indicators of a one-hot column count together.  ``data`` has the
+    pipeline's input columns; only its schema is used."""
     clf = model.stages[-1]
     if not hasattr(clf, "featureImportances"):
         return None
-    asm = next(s for s in model.stages if isinstance(s, VectorAssembler))
-    imp = clf.featureImportances.toArray()
-    names = asm.getInputCols()
-    if len(names) != len(imp):
-        names = [f"f{i}" for i in range(len(imp))]
-    return {n: float(v) for n, v in zip(names, imp)}
+    field = model.transform(data.limit(0)).schema[clf.getFeaturesCol()]
+    named = {a["idx"]: a["name"] for group in field.metadata["ml_attr"]["attrs"].values() for a in group}
+    out: dict[str, float] = {}
+    for i, v in enumerate(clf.featureImportances.toArray()):
+        source = named[i].split("__oh")[0].split("__te")[0]
+        out[source] = out.get(source, 0.0) + float(v)
+    return out
 
 
 # --------------------------------------------------------------------------- K17–K19 run table

@@ -8,6 +8,7 @@ counts of distinct values move through the shuffle, never the rows.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -36,7 +37,12 @@ def kolmogorov_pvalue(d: Column, n1: Column, n2: Column, terms: int = 100) -> Co
     series = F.aggregate(
         F.sequence(F.lit(1), F.lit(terms)), F.lit(0.0),
         lambda acc, k: acc + F.when(k % 2 == 1, 2.0).otherwise(-2.0) * F.exp(-2.0 * k * k * lam * lam))
-    return F.when(lam < 1e-3, 1.0).otherwise(F.least(F.lit(1.0), F.greatest(F.lit(0.0), series)))
+    # for small λ that series needs about 1/λ terms; its theta transform,
+    # √(2π)/λ Σ_k exp(-(2k-1)² π² / (8 λ²)) = 1 - Q, needs a few
+    small = F.aggregate(F.sequence(F.lit(1), F.lit(10)), F.lit(0.0),
+                        lambda acc, k: acc + F.exp(-(2 * k - 1) * (2 * k - 1) * math.pi ** 2 / (8.0 * lam * lam)))
+    q = F.when(lam < 1.0, 1.0 - math.sqrt(2 * math.pi) / lam * small).otherwise(series)
+    return F.when(lam < 0.04, 1.0).otherwise(F.least(F.lit(1.0), F.greatest(F.lit(0.0), q)))
 
 
 def ks_drift(reference: DataFrame, current: DataFrame, features: Sequence[str] | None = None) -> DataFrame:

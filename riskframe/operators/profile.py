@@ -54,7 +54,7 @@ def profile(df: DataFrame, approx: bool = False) -> DataFrame:
            .fillna(0, subset=["distinct"]))
     return out.select(
         "column", "dtype", "nulls",
-        F.round(F.col("nulls") * 100.0 / F.col("rows"), 2).alias("null_pct"),
+        F.round(F.try_divide(F.col("nulls") * 100.0, F.col("rows")), 2).alias("null_pct"),
         "distinct",
         F.when(F.col("distinct") == 1, "drop_constant")
          .when(F.col("distinct") == F.col("rows"), "drop_identifier")
@@ -136,9 +136,9 @@ def categorical_distribution(df: DataFrame, columns: Sequence[str] | None = None
 
 
 def categorical_vs_target(df: DataFrame, target: str, columns: Sequence[str] | None = None) -> DataFrame:
-    """(feature, value, target, count)."""
+    """(feature, value, target, count); rows without a target are left out."""
     cols = categorical_columns(df, columns, exclude=[target])
-    long = melt(df, [target], cols, value_type="string", name_col="feature")
+    long = melt(df.where(col(target).isNotNull()), [target], cols, value_type="string", name_col="feature")
     return long.groupBy("feature", "value", target).agg(F.count(F.lit(1)).alias("count"))
 
 
@@ -286,6 +286,3 @@ def leakage_report(df: DataFrame, target: str = "target") -> DataFrame:
         [("duplicate_columns", dups), ("high_correlation", high), ("problematic_columns", names)],
         "check string, count long")
 
-
-def string_schema() -> T.StructType:
-    return T.StructType([T.StructField("column", T.StringType())])

@@ -51,17 +51,17 @@ def check_missing(df: DataFrame) -> DataFrame:
     """I1 per column: missing count, % (2 dp), critical (> 10 %, unrounded)."""
     r = one_pass(df, df.columns, {"missing": lambda c: F.count_if(c.isNull()).cast("long"),
                                   "rows": lambda c: F.count(F.lit(1)).cast("long")})
-    pct = F.col("missing") * 100.0 / F.col("rows")
+    pct = F.try_divide(F.col("missing") * 100.0, F.col("rows"))
     return r.select("column", "missing", F.round(pct, 2).alias("missing_pct"),
-                    (pct > MISSING_CRITICAL_PCT).alias("critical"))
+                    F.coalesce(pct > MISSING_CRITICAL_PCT, F.lit(False)).alias("critical"))
 
 
 def missing_totals(df: DataFrame) -> DataFrame:
     """I1 totals: missing cells and their % of rows × columns."""
-    n_cols = len(df.columns)
-    m = check_missing(df)
+    m = one_pass(df, df.columns, {"missing": lambda c: F.count_if(c.isNull()).cast("long"),
+                                  "rows": lambda c: F.count(F.lit(1)).cast("long")})
     return m.agg(F.sum("missing").cast("long").alias("total_missing"),
-                 F.round(F.sum("missing") * 100.0 / (F.max("rows") * n_cols), 2).alias("total_missing_pct"))
+                 F.round(F.try_divide(F.sum("missing") * 100.0, F.sum("rows")), 2).alias("total_missing_pct"))
 
 
 def check_outliers(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
@@ -100,8 +100,8 @@ def check_distribution(df: DataFrame, columns: Sequence[str] | None = None) -> D
 
 def constant_columns(df: DataFrame) -> DataFrame:
     """I4: columns with at most one distinct non-null value (all-null included)."""
-    r = one_pass(df, df.columns, {"n_distinct": lambda c: F.count_distinct(c).cast("long")})
-    return r.where("n_distinct <= 1").select("column")
+    r = one_pass(df, df.columns, {"constant": lambda c: F.coalesce(F.min(c) == F.max(c), F.lit(True))})
+    return r.where("constant").select("column")
 
 
 def check_integrity(df: DataFrame) -> DataFrame:
@@ -121,18 +121,18 @@ def check_categorical(df: DataFrame, columns: Sequence[str] | None = None) -> Da
     """I5 per string column: distinct count, distinct/rows (4 dp), mode (lowest
     value on ties) and its count, high (> .5) / low (< .1) cardinality flags."""
     cols = list(columns) if columns is not None else string_columns(df)
-    r = one_pass(df, cols, {"n_distinct": lambda c: F.count_distinct(c).cast("long"),
-                            "rows": lambda c: F.count(F.lit(1)).cast("long"),
-                            "most_common": lambda c: F.mode(c, True).cast("string")})
-    counts = melt(df, [], cols, value_type="string").groupBy("column", "value").agg(
-        F.count(F.lit(1)).alias("most_common_count"))
-    j = r.join(counts, (r["column"] == counts["column"]) & (r["most_common"] == counts["value"]), "left") \
-         .select(r["column"], "n_distinct", "rows", "most_common",
-                 F.coalesce("most_common_count", F.lit(0)).alias("most_common_count"))
-    ratio = F.col("n_distinct") / F.col("rows")
+    rows = one_pass(df, cols, {"rows": lambda c: F.count(F.lit(1)).cast("long")})
+    # distinct count and mode from the value counts: no value list in one reducer
+    counts = melt(df, [], cols, value_type="string").groupBy("column", "value").agg(F.count(F.lit(1)).alias("_n"))
+    top = counts.groupBy("column").agg(F.count(F.lit(1)).alias("n_distinct"),
+                                       F.min(F.struct((-F.col("_n")).alias("_o"), "value")).alias("_top"))
+    j = rows.join(top, "column", "left").select(
+        "column", F.coalesce("n_distinct", F.lit(0)).alias("n_distinct"), "rows", F.col("_top.value").alias("most_common"),
+        F.coalesce(-F.col("_top._o"), F.lit(0)).alias("most_common_count"))
+    ratio = F.try_divide(F.col("n_distinct"), F.col("rows"))
     return j.select("column", "n_distinct", F.round(ratio, 4).alias("unique_ratio"), "most_common",
-                    "most_common_count", (ratio > HIGH_CARDINALITY).alias("high_cardinality"),
-                    (ratio < LOW_CARDINALITY).alias("low_cardinality"))
+                    "most_common_count", F.coalesce(ratio > HIGH_CARDINALITY, F.lit(False)).alias("high_cardinality"),
+                    F.coalesce(ratio < LOW_CARDINALITY, F.lit(False)).alias("low_cardinality"))
 
 
 def quality_report(df: DataFrame) -> DataFrame:
@@ -150,7 +150,7 @@ def quality_report(df: DataFrame) -> DataFrame:
         - SCORE_PENALTY["constant"] * i["constant_columns"]
     score = max(0, score)
     return df.sparkSession.createDataFrame(
-        [(float(score), int(m), int(o), int(i["duplicate_rows"]), float(i["duplicate_pct"] or 0.0),
+        [(float(score), int(m), int(o), int(i["duplicate_rows"] or 0), float(i["duplicate_pct"] or 0.0),
           int(i["constant_columns"]), int(i["highly_correlated_pairs"]), score > PASSING_SCORE)],
         "quality_score double, missing_critical long, outlier_critical long, duplicate_rows long, "
         "duplicate_pct double, constant_columns long, highly_correlated_pairs long, passed boolean")

@@ -1,4 +1,4 @@
-"""Exact seeded sampling and splitting.
+"""Exact seeded sampling and splitting.
 
 pandas/sklearn draw exact sample sizes; Spark's ``sample`` is Bernoulli.
 Here a row's place in the sample is decided by ``md5(key‖seed)`` ranks
@@ -52,16 +52,6 @@ def stratified_folds(df: DataFrame, key: Sequence[str], target: str, k: int = 5,
     return r.withColumn("fold", ((F.col("_rank") - 1) % k).cast("int")).select(*df.columns, "fold")
 
 
-def sample_if_large(df: DataFrame, key: Sequence[str], limit: int = 100_000, frac: float = 0.1,
-                    seed: int = 42, enabled: bool = False) -> DataFrame:
-    """The reference shrinks tables above ``limit`` rows to ``frac``; off by
-    default here (Spark has no reason to shrink), exact when enabled."""
-    if not enabled:
-        return df
-    n = df.count()
-    return sample_exact(df, key, frac, seed) if n > limit else df
-
-
 def split_class_shares(df: DataFrame, target: str = "target", split: str = "split") -> DataFrame:
     """Per split: rows, good/bad counts and % (absent class = 0)."""
     t = col(target)

@@ -32,15 +32,15 @@ def numeric_summary(df: DataFrame, columns: Sequence[str] | None = None, digits:
     # one quantile aggregate per column (a single value -> count map), not one per probability
     pct = (lambda c: F.percentile(c, probs)) if exact else (lambda c: F.percentile_approx(c, probs, 10000))
     s = one_pass(df, cols, {
-        "n_distinct": lambda c: F.approx_count_distinct(c).cast("double"),
+        "varies": lambda c: F.coalesce(F.min(c) != F.max(c), F.lit(False)),
         "mean": lambda c: F.avg(c).cast("double"),
         "q": lambda c: pct(c.cast("double")).cast("array<double>"),
         "skew": lambda c: F.skewness(c).cast("double"),
         "kurtosis": lambda c: F.kurtosis(c).cast("double"),
-    }).select("column", "n_distinct", "mean", F.col("q")[0].alias("p25"), F.col("q")[1].alias("median"),
+    }).select("column", "varies", "mean", F.col("q")[0].alias("p25"), F.col("q")[1].alias("median"),
               F.col("q")[2].alias("p75"), F.col("q")[3].alias("p99"), "skew", "kurtosis")
     r = {k: F.round(k, digits).alias(k) for k in ("mean", "median", "p25", "p75", "p99", "skew", "kurtosis")}
-    return s.where("n_distinct > 1").select(
+    return s.where("varies").select(
         "column", *r.values(),
         F.concat(F.lit("["), F.round("p25", digits).cast("string"), F.lit(", "),
                  F.round("p75", digits).cast("string"), F.lit("]")).alias("iqr"),
@@ -119,6 +119,8 @@ def pair_density(df: DataFrame, columns: Sequence[str] | None = None, bins: int
         return F.least(F.floor((col(c) - F.lit(lo)) / F.lit(hi - lo) * bins) + 1, F.lit(bins)).cast("int")
 
     pairs = [(x, y) for i, x in enumerate(cols) for y in cols[i + 1:]]
+    if not pairs:
+        return df.sparkSession.createDataFrame([], "var1 string, var2 string, bin1 int, bin2 int, count long")
     arr = F.array(*[F.struct(F.lit(x).alias("var1"), F.lit(y).alias("var2"),
                              bin_of(x).alias("bin1"), bin_of(y).alias("bin2")) for x, y in pairs])
     long = df.select(F.inline(arr)).where("bin1 IS NOT NULL AND bin2 IS NOT NULL")
@@ -138,6 +140,8 @@ def rank_table(df: DataFrame, c: str, out: str) -> DataFrame:
 def correlation_matrix(df: DataFrame, columns: Sequence[str], method: str = "pearson") -> DataFrame:
     """Long (var1, var2, r) over complete-case rows.  Pearson: one aggregate of
     co-moments; Spearman: the same on tie-averaged ranks."""
+    if len(columns) < 2:
+        return df.sparkSession.createDataFrame([], "var1 string, var2 string, r double")
     cc = df.select(*[col(c).cast("double").alias(c) for c in columns]).dropna()
     names = list(columns)
     if method == "spearman":
@@ -219,7 +223,7 @@ def chi2_tables(counts: DataFrame) -> DataFrame:
                                   F.count_distinct("cat2").alias("cols"))
     cells = (counts.withColumnRenamed("n", "o").join(rm, [*k, "cat1"]).join(cm, [*k, "cat2"])
              .join(dims, k))
-    e = F.col("r_n") * F.col("c_n") / F.col("n")
+    e = F.col("r_n").cast("double") * F.col("c_n") / F.col("n")  # double: margins multiply beyond a long
     general = cells.groupBy(*k).agg(F.sum((F.col("o") - e) ** 2 / e).alias("_obs"), F.sum(e).alias("_sum_e"),
                                     F.first("n").alias("n"), F.first("rows").alias("rows"),
                                     F.first("cols").alias("cols"))
@@ -233,7 +237,7 @@ def chi2_tables(counts: DataFrame) -> DataFrame:
                                              F.col("C")[j]["cat2"].alias("cat2"), F.col("C")[j]["c_n"].alias("c_n"))
                                     for i in range(2) for j in range(2)])))
     g = grid.join(counts.withColumnRenamed("n", "o"), [*k, "cat1", "cat2"], "left").fillna(0, subset=["o"])
-    e2 = F.col("r_n") * F.col("c_n") / F.col("n")
+    e2 = F.col("r_n").cast("double") * F.col("c_n") / F.col("n")
     diff = F.abs(F.col("o") - e2)
     yates = g.groupBy(*k).agg(F.sum((diff - F.least(F.lit(0.5), diff)) ** 2 / e2).alias("chi2_yates"))
     out = general.join(yates, k, "left").select(
@@ -310,7 +314,7 @@ def anova(df: DataFrame, group: str, columns: Sequence[str] | None = None, digit
         F.count(F.lit(1)).alias("k"), F.sum("n").alias("N"),
         F.sum(F.col("n") * (F.col("m") - F.col("gm")) ** 2).alias("ssb"),
         F.sum(F.col("n") * F.col("v")).alias("ssw")).where("k > 1")
-    fstat = (F.col("ssb") / (F.col("k") - 1)) / (F.col("ssw") / (F.col("N") - F.col("k")))
+    fstat = F.try_divide(F.col("ssb") / (F.col("k") - 1), F.try_divide(F.col("ssw"), F.col("N") - F.col("k")))
     s = s.select("column", fstat.alias("f_statistic"), (F.col("k") - 1).cast("double").alias("df1"),
                  (F.col("N") - F.col("k")).cast("double").alias("df2"))
 

@@ -36,37 +36,38 @@ def model_comparison_cards(spark, sf_dir):
     """Logistic regression, random forest and boosted trees on
     the six card features (stratified 80/20 split), ranked by test ROC AUC."""
     train, test = _split(spark, sf_dir)
-    models, errors = ML.train_models(train, CARD_NUMERIC, CARD_CATEGORICAL, "label", fast=True)
+    models, errors = ML.train_models(train, CARD_NUMERIC, CARD_CATEGORICAL, "label", balanced=True)
+    if errors:
+        raise RuntimeError(f"models failed: {errors}")
     return ML.evaluate_models(models, test)
 
 
 @register("cross_validation_cards")
 def cross_validation_cards(spark, sf_dir):
-    """K5: stratified 3-fold CV of logistic regression on the training split."""
+    """K5: stratified 5-fold CV of logistic regression on the training split."""
     train, _ = _split(spark, sf_dir)
-    folds = D.stratified_folds(train.drop("split"), ["app_id"], "label", k=3, seed=42)
-    per_fold, summary = ML.cross_validate(folds, "logistic_regression", CARD_NUMERIC, CARD_CATEGORICAL,
-                                          fast=True)
+    folds = D.stratified_folds(train.drop("split"), ["app_id"], "label", k=5, seed=42)
+    per_fold, summary = ML.cross_validate(folds, "logistic_regression", CARD_NUMERIC, CARD_CATEGORICAL)
     return summary
 
 
 @register("grid_search_cards")
 def grid_search_cards(spark, sf_dir):
-    """C grid for logistic regression with 2 stratified folds; per-param importance."""
+    """C grid for logistic regression with 5 stratified folds; per-param importance."""
     train, _ = _split(spark, sf_dir)
-    folds = D.stratified_folds(train.drop("split"), ["app_id"], "label", k=2, seed=42)
+    folds = D.stratified_folds(train.drop("split"), ["app_id"], "label", k=5, seed=42)
     best, results = ML.grid_search(folds, "logistic_regression", CARD_NUMERIC, CARD_CATEGORICAL,
-                                   grid={"C": ML.LR_GRID_C}, fast=True)
+                                   grid={"C": ML.LR_GRID_C})
     return ML.param_importance(results).join(
         results.agg(F.max("mean_auc").alias("best_mean_auc")), how="inner")
 
 
 @register("feature_importance_cards")
 def feature_importance_cards(spark, sf_dir):
-    """Random-forest feature importances (assembler input names)."""
+    """Random-forest feature importances per source column."""
     train, _ = _split(spark, sf_dir)
-    m = ML.build_pipeline("random_forest", CARD_NUMERIC, CARD_CATEGORICAL, fast=True).fit(train)
-    imp = ML.feature_importance(m) or {}
+    m = ML.build_pipeline("random_forest", CARD_NUMERIC, CARD_CATEGORICAL).fit(train)
+    imp = ML.feature_importance(m, train) or {}
     return spark.createDataFrame(sorted(imp.items()), "feature string, importance double")
 
 
@@ -78,8 +79,11 @@ def model_scored_applications(spark, sf_dir):
     apps, _ = S.split_applications(labelled_applications(spark, sf_dir))
     apps = A.fill_defaults(apps).withColumns(A.engineered_features()).withColumn("label", F.col("target").cast("double"))
     feats = ["fico_avg", "loan_to_income_ratio", "emp_length_numeric", "dti", "revol_util", "inq_last_6mths"]
-    m = ML.build_pipeline("logistic_regression", feats, [], n=1000, fast=True).fit(apps)
-    scored = ML.score(m, apps, "lr", keep=["loan_amnt"]).withColumnRenamed("score", "p_default").drop("prediction")
+    ensure_checkpoint_dir(spark)
+    apps = D.stratified_split(apps, ["app_id"], "label", 0.2, seed=42).checkpoint(eager=True)
+    train, test = apps.where("split = 'train'"), apps.where("split = 'test'")
+    m = ML.build_pipeline("logistic_regression", feats, [], n=train.count()).fit(train)
+    scored = ML.score(m, test, "lr", keep=["loan_amnt"]).withColumnRenamed("score", "p_default").drop("prediction")
     lab = A.label_default_probability(scored, "p_default")
     return lab.groupBy("prediction", "confidence").agg(F.count(F.lit(1)).alias("n"),
                                                        F.round(F.avg("risk_score"), 4).alias("avg_risk"))

@@ -483,8 +483,8 @@ def standard_scaled_lines(spark, sf_dir):
 
 @register("one_hot_applications", I.with_ctes(I.APPLICATIONS_SQL) + """
 SELECT app_id, """ + ", ".join(
-    [f"CASE WHEN term = '{v}' THEN 1.0 WHEN term IS NULL THEN NULL ELSE 0.0 END AS \"term_{v}\"" for v in ["36 months", "60 months"]]
-    + [f"CASE WHEN home_ownership = '{v}' THEN 1.0 WHEN home_ownership IS NULL THEN NULL ELSE 0.0 END AS \"home_ownership_{v}\""
+    [f"CASE WHEN term = '{v}' THEN 1.0 ELSE 0.0 END AS \"term_{v}\"" for v in ["36 months", "60 months"]]
+    + [f"CASE WHEN home_ownership = '{v}' THEN 1.0 ELSE 0.0 END AS \"home_ownership_{v}\""
        for v in ["MORTGAGE", "OTHER", "OWN", "RENT"]]) + " FROM applications")
 def one_hot_applications(spark, sf_dir):
     apps = I.applications(spark, sf_dir).select("app_id", "term", "home_ownership")

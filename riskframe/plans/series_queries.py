@@ -137,7 +137,7 @@ SELECT strftime(s, '%Y-%m-%d %H:%M:%S') AS window_start, requests, errors, round
        min(CAST(e AS INTEGER)) OVER x = 1 AND count(*) OVER x = 3 AS high_error_rate_firing,
        min(CAST(l AS INTEGER)) OVER x = 1 AND count(*) OVER x = 3 AS high_latency_firing,
        min(CAST(p AS INTEGER)) OVER x = 1 AND count(*) OVER x = 3 AS prediction_failures_firing
-FROM f WINDOW x AS (ORDER BY s ROWS BETWEEN 2 PRECEDING AND CURRENT ROW)"""
+FROM f WINDOW x AS (ORDER BY s RANGE BETWEEN INTERVAL 2 MINUTE PRECEDING AND CURRENT ROW)"""
 
 
 @register("alert_windows_log", ALERT_SQL)

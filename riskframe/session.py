@@ -50,8 +50,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     local runs) a fresh local folder is created and registered.
     """
     path = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not path and not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("name a folder that driver and executors share in spark.checkpoint.dir")
     if not path:
-        # unset only outside a configured cluster (tests, local runs): a fresh local folder
+        # unset in tests and local runs: a fresh local folder
         path = tempfile.mkdtemp(prefix="riskframe-ckpt-")
     if not spark.sparkContext.getCheckpointDir():
         spark.sparkContext.setCheckpointDir(path)

@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import datetime as _dt
 import json
+import re
 from collections.abc import Sequence
 
 from pyspark.ml import PipelineModel
@@ -63,6 +64,8 @@ def write_summaries(summaries: dict[str, DataFrame], path: str, fmt: str = "parq
     names = []
     for name, df in summaries.items():
         n = name[:SHEET_NAME_LIMIT]
+        if n in names:
+            raise ValueError(f"two summaries are named {n!r} in their first {SHEET_NAME_LIMIT} characters")
         write_table(df, f"{path.rstrip('/')}/{n}", fmt)
         names.append(n)
     return names
@@ -126,12 +129,9 @@ def pick_model(spark: SparkSession, path: str) -> str | None:
     """best_tuned → best → any catboost/boosted → any non-scaler directory."""
     dirs = [d for d in list_dirs(spark, path) if "scaler" not in d.lower()]
     for want in ("best_tuned", "best", "catboost", "gradient_boosting"):
-        hit = [d for d in dirs if want in d.lower()]
+        # "best" is a whole word of the name; the others name a kind of model
+        hit = [d for d in dirs if (want in re.split("[_-]", d.lower()) if want == "best" else want in d.lower())]
         if hit:
             return f"{path.rstrip('/')}/{hit[0]}"
     return f"{path.rstrip('/')}/{dirs[0]}" if dirs else None
 
-
-def report_json(row: dict) -> str:
-    """Serialise a small report row; numpy / date values become text."""
-    return json.dumps(row, default=str)

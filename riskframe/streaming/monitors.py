@@ -9,10 +9,9 @@ dropped from their windows (documented Structured Streaming semantics).
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import applications as A
@@ -29,11 +28,6 @@ FAILURES_IN_5MIN = 5          # failed predictions over 5 min
 CPU_PCT, MEMORY_PCT = 80.0, 85.0
 
 
-def _ts(df: DataFrame, ts: str) -> DataFrame:
-    """Watermarks need TIMESTAMP (session time zone), not TIMESTAMP_NTZ."""
-    return df.withColumn(ts, col(ts).cast("timestamp"))
-
-
 def prediction_metrics(log: DataFrame, ts: str = "ts", window: str = "1 hour") -> DataFrame:
     """M1: per tumbling window: total, approval / rejection rate, mean ms, error rate."""
     w = F.window(col(ts), window)
@@ -64,21 +58,25 @@ def sliding_counts(log: DataFrame, ts: str = "ts", length: str = "5 minutes", sl
                                          F.count_if("is_error").alias("errors"), p95.alias("p95_ms"))
 
 
-def alert_windows(counts: DataFrame, hold_windows: int = 3, window_seconds: int = 300,
+def alert_windows(counts: DataFrame, hold_windows: int = 3, window_seconds: int = 300, slide_seconds: int = 60,
                   error_rate: float = ERROR_RATE_PER_SEC, p95_ms: float = LATENCY_P95_MS,
                   failures: int = FAILURES_IN_5MIN) -> DataFrame:
     """M2–M4 on sliding-window counts: each condition per window and whether
     it held for ``hold_windows`` consecutive window starts (2 min at a 1 min
-    slide).  The hold check orders the window rows only (one per slide)."""
+    slide): each true window counts towards its own start and the next ones,
+    and a start fires when all of them arrived, so a gap in the windows ends
+    the hold and no task sees all windows."""
     base = counts.select(F.col("w.start").alias("_s"), "requests", "errors", "p95_ms").withColumns({
         "high_error_rate": (F.col("errors") / window_seconds) > error_rate,
         "high_latency": F.col("p95_ms") > p95_ms,
         "prediction_failures": F.col("errors") > failures})
-    order = Window.orderBy("_s").rowsBetween(-(hold_windows - 1), 0)
-    held = {f"{c}_firing": (F.min(F.col(c).cast("int")).over(order) == 1)
-                           & (F.count(F.lit(1)).over(order) == hold_windows)
-            for c in ("high_error_rate", "high_latency", "prediction_failures")}
-    return base.withColumns(held).select(
+    conditions = ("high_error_rate", "high_latency", "prediction_failures")
+    ahead = F.explode(F.sequence(F.lit(0), F.lit(hold_windows - 1))).alias("_k")
+    votes = base.select("_s", *conditions, ahead).select(
+        F.timestamp_seconds(F.unix_timestamp(F.col("_s").cast("timestamp")) + F.col("_k") * slide_seconds).alias("_t"), *conditions)
+    votes = votes.groupBy("_t").agg(*[F.count_if(F.col(c)).alias(f"_{c}") for c in conditions])
+    held = {f"{c}_firing": F.coalesce(F.col(f"_{c}") == hold_windows, F.lit(False)) for c in conditions}
+    return base.join(votes, F.col("_s").cast("timestamp") == F.col("_t"), "left").withColumns(held).select(
         F.date_format("_s", "yyyy-MM-dd HH:mm:ss").alias("window_start"), "requests", "errors",
         F.round("p95_ms", 6).alias("p95_ms"), "high_error_rate", "high_latency", "prediction_failures",
         *held.keys())
@@ -105,9 +103,13 @@ def gauge_over_threshold(gauges: DataFrame, name: str, threshold: float, ts: str
 
 def read_table_stream(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A file stream over one driver table (new parquet files = new rows)."""
-    schema = spark.read.parquet(f"{sf_dir}/{name}.parquet").schema
-    return (spark.readStream.schema(schema).option("pathGlobFilter", f"{name}.parquet")
-            .option("maxFilesPerTrigger", 1).parquet(sf_dir))
+    path = f"{sf_dir}/{name}.parquet"
+    schema = spark.read.parquet(path).schema
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1)
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    if place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).getFileStatus(place).isDirectory():
+        return stream.parquet(path)  # a table written as a folder of part files
+    return stream.option("pathGlobFilter", f"{name}.parquet").parquet(sf_dir)
 
 
 def prediction_log_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -123,10 +125,9 @@ def run_to_table(agg: DataFrame, spark: SparkSession, mode: str = "complete") ->
     """Run a streaming aggregate to completion (availableNow) into a memory
     table and return it.  Window aggregates are bounded by the number of
     windows, so the memory sink is safe here; the checkpoint lives under
-    the session's shared checkpoint folder so the query survives restarts."""
+    the session's shared checkpoint folder."""
     name = f"rf_stream_{uuid.uuid4().hex[:12]}"
-    base = ensure_checkpoint_dir(spark).replace("file:", "")
-    ckpt = tempfile.mkdtemp(prefix=name, dir=base) if base.startswith("/") else f"{base}/{name}"
+    ckpt = f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}"
     q = (agg.writeStream.outputMode(mode).format("memory").queryName(name)
          .option("checkpointLocation", ckpt).trigger(availableNow=True).start())
     q.awaitTermination()

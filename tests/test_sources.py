@@ -34,7 +34,7 @@ def test_reports_summaries_and_metadata(spark, tmp_path):
 def test_model_directories(spark, tmp_path):
     df = spark.range(60).select((F.col("id") % 7).cast("double").alias("x"),
                                 (F.col("id") % 2).cast("double").alias("label"))
-    m = ML.build_pipeline("logistic_regression", ["x"], [], n=60, fast=True).fit(df)
+    m = ML.build_pipeline("logistic_regression", ["x"], [], n=60).fit(df)
     saved = S.save_models({"Best Tuned LR": m, "failed": None, "scaler": m}, str(tmp_path / "models"))
     assert saved == ["best_tuned_lr", "scaler"]
     loaded = S.load_models(spark, str(tmp_path / "models"))
