@@ -12,7 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .core import col, numeric_columns, small_join, string_columns
+from .core import col, melt, numeric_columns, small_join, string_columns, value_quantiles
 
 # ---------------------------------------------------------------------------
 # Fixed values that must equal the reference's for identical results.
@@ -65,6 +65,25 @@ def _stats_row(df: DataFrame, exprs: dict) -> dict:
     return row.asDict()
 
 
+def _medians(df: DataFrame, columns: Sequence[str], exact: bool = True) -> dict:
+    """{column: median}, one row per column on the driver; all-null columns are absent."""
+    if not columns:
+        return {}
+    if exact:
+        return {r["column"]: r["q"][0] for r in value_quantiles(df, columns, [0.5]).collect()}
+    row = _stats_row(df, {f"n_{i}": F.percentile_approx(col(c), 0.5, 10000).cast("double") for i, c in enumerate(columns)})
+    return {c: row[f"n_{i}"] for i, c in enumerate(columns) if row[f"n_{i}"] is not None}
+
+
+def _modes(df: DataFrame, columns: Sequence[str]) -> dict:
+    """{column: most frequent value, the lowest on ties} from the value counts."""
+    if not columns:
+        return {}
+    counts = melt(df, [], columns, value_type="string").groupBy("column", "value").agg(F.count(F.lit(1)).alias("_n"))
+    top = counts.groupBy("column").agg(F.min(F.struct((-F.col("_n")).alias("_o"), "value")).alias("_t"))
+    return {r["column"]: r["value"] for r in top.select("column", "_t.value").collect()}
+
+
 def impute(df: DataFrame, numeric: Sequence[str], categorical: Sequence[str],
            fit_on: DataFrame | None = None, exact: bool = True) -> DataFrame:
     """Numeric -> median (as double), categorical -> mode (lowest on ties),
@@ -72,27 +91,17 @@ def impute(df: DataFrame, numeric: Sequence[str], categorical: Sequence[str],
     (the training split; the reference fits on the whole table before the
     split, which leaks test rows — not copied)."""
     src = fit_on if fit_on is not None else df
-    med = (lambda c: F.median(c)) if exact else (lambda c: F.percentile_approx(c, 0.5, 10000).cast("double"))
-    exprs = {f"n_{i}": med(col(c)) for i, c in enumerate(numeric)}
-    exprs.update({f"c_{i}": F.mode(col(c), True) for i, c in enumerate(categorical)})
-    stats = _stats_row(src, exprs)
-    fills = {}
-    for i, c in enumerate(numeric):
-        v = stats[f"n_{i}"]
-        fills[c] = F.coalesce(col(c).cast("double"), F.lit(v).cast("double"))
-    for i, c in enumerate(categorical):
-        v = stats[f"c_{i}"]
-        fills[c] = F.coalesce(col(c), F.lit(v if v is not None else MISSING_CATEGORY))
+    medians, modes = _medians(src, numeric, exact), _modes(src, categorical)
+    fills = {c: F.coalesce(col(c).cast("double"), F.lit(medians.get(c)).cast("double")) for c in numeric}
+    fills |= {c: F.coalesce(col(c), F.lit(modes.get(c, MISSING_CATEGORY))) for c in categorical}
     return df.withColumns(fills) if fills else df
 
 
 def fill_by_type(df: DataFrame) -> DataFrame:
     """Numeric -> median (0 when the column is all null); other -> 'неизвестно'."""
     numeric = numeric_columns(df)
-    stats = _stats_row(df, {f"n_{i}": F.median(col(c)) for i, c in enumerate(numeric)})
-    fills = {c: F.coalesce(col(c).cast("double"),
-                           F.lit(stats[f"n_{i}"] if stats[f"n_{i}"] is not None else 0.0).cast("double"))
-             for i, c in enumerate(numeric)}
+    medians = _medians(df, numeric)
+    fills = {c: F.coalesce(col(c).cast("double"), F.lit(medians.get(c, 0.0)).cast("double")) for c in numeric}
     fills.update({c: F.coalesce(col(c).cast("string"), F.lit(UNKNOWN_TEXT))
                   for c in df.columns if c not in numeric})
     return df.withColumns(fills)
@@ -120,8 +129,8 @@ def scale_each_numeric(df: DataFrame, exclude: Sequence[str] = ()) -> DataFrame:
     numeric = numeric_columns(df, exclude=exclude)
     if not numeric:
         return df
-    nd = _stats_row(df, {f"d_{i}": F.count_distinct(col(c)) for i, c in enumerate(numeric)})
-    keep = [c for i, c in enumerate(numeric) if nd[f"d_{i}"] > 1]
+    varies = _stats_row(df, {f"d_{i}": F.min(col(c)) != F.max(col(c)) for i, c in enumerate(numeric)})
+    keep = [c for i, c in enumerate(numeric) if varies[f"d_{i}"]]
     return standard_scale(df, keep)
 
 

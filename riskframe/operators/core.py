@@ -14,15 +14,15 @@ bounded by construction (number of columns, number of buckets).
 
 from __future__ import annotations
 
-import math
 from collections.abc import Callable, Iterable, Sequence
 from functools import reduce
 
-from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..session import ensure_checkpoint_dir
+
 NUMERIC_TYPES = (T.ByteType, T.ShortType, T.IntegerType, T.LongType,
                  T.FloatType, T.DoubleType, T.DecimalType)
 
@@ -132,55 +132,57 @@ def keyed_join(big: DataFrame, small: DataFrame, keys: Sequence[str], how: str =
     return big.join(side, on, how).drop(*[f"_k_{i}" for i in range(len(keys))])
 
 
-def bucket_bounds(df: DataFrame, order: str, buckets: int, accuracy: int = 10_000) -> list[float]:
-    """Approximate equi-depth boundaries of ``order`` (a bounded list on the driver)."""
-    if buckets <= 1:
-        return []
-    probs = [i / buckets for i in range(1, buckets)]
-    row = df.agg(F.percentile_approx(col(order).cast("double"), probs, accuracy).alias("b")).first()
-    # infinities and NaN are no borders: the outer buckets hold them
-    return sorted({float(b) for b in (row["b"] or []) if b is not None and math.isfinite(b)})
-
+def range_buckets(df: DataFrame, order: Sequence[Column], buckets: int | None = None) -> DataFrame:
+    """``df`` in range partitions of ``order`` with the partition as ``_bucket``.
 
-def assign_bucket(df: DataFrame, order: str, bounds: list[float], out: str = "_bucket") -> DataFrame:
-    """Bucket index by binary search (JVM ``Bucketizer``), 0..len(bounds)."""
-    if not bounds:
-        return df.withColumn(out, F.lit(0).cast("int"))
-    tmp = "_bucket_in"
-    splits = [float("-inf"), *bounds, float("inf")]
-    bz = Bucketizer(splits=splits, inputCol=tmp, outputCol=out, handleInvalid="keep")
-    res = bz.transform(df.withColumn(tmp, col(order).cast("double")))
-    return res.drop(tmp).withColumn(out, F.col(out).cast("int"))
+    The ranges come from Spark's own sample of the rows, so a large key is
+    spread over as many buckets as its rows ask for, and their number
+    follows ``spark.sql.shuffle.partitions``.  The checkpoint keeps the
+    ranges the same for every later read.
+    """
+    n = buckets or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.repartitionByRange(n, *order).withColumn("_bucket", F.spark_partition_id()).checkpoint()
 
 
 def running_totals(df: DataFrame, keys: Sequence[str], order: str, sums: Sequence[str],
-                   descending: bool = False, buckets: int = 64, prefix: str = "cum_") -> DataFrame:
+                   descending: bool = False, buckets: int | None = None, prefix: str = "cum_") -> DataFrame:
     """Inclusive running sums of ``sums`` within ``keys`` ordered by ``order``.
 
     ``df`` must hold at most one row per (keys, order) — compress with a
-    ``groupBy`` first.  The global order is split into ``buckets`` value
-    ranges (boundaries computed once, used as literals); per-bucket totals
-    are tiny, their offsets come from a window over the bucket rows only,
-    and the final running sum is a window partitioned by (keys, bucket), so
-    no window ever sees a whole key or the whole table.
+    ``groupBy`` first.  Rows are dealt into range partitions of (keys,
+    order); per-bucket totals are small, their offsets come from a window
+    over the bucket rows only, and the final running sum is a window
+    partitioned by (keys, bucket), so no window sees a whole large key.
     """
     keys = list(keys)
-    ordcol = "_ord"
-    base = df.withColumn(ordcol, (-col(order) if descending else col(order)).cast("double"))
-    bounds = bucket_bounds(base, ordcol, buckets)
-    b = assign_bucket(base, ordcol, bounds)
+    by = F.desc(order) if descending else F.asc(order)
+    b = range_buckets(df, [*[F.asc(f"`{k}`") for k in keys], by], buckets)
     totals = b.groupBy(*keys, "_bucket").agg(*[F.sum(col(s)).alias(f"_t_{s}") for s in sums])
-    # a window over the bucket rows only: (#keys x buckets) rows in total
+    # a window over the bucket rows only: at most #keys + #buckets rows in total
     wo = _win(keys).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.select(*keys, "_bucket",
                             *[F.coalesce(F.sum(f"_t_{s}").over(wo), F.lit(0)).alias(f"_o_{s}") for s in sums])
-    # offsets hold (#keys x buckets) rows: bounded by ``buckets`` when there is no key
-    joined = keyed_join(b, offsets, [*keys, "_bucket"],
-                        known_rows=(len(bounds) + 1) if not keys else None)
-    wl = Window.partitionBy(*keys, "_bucket").orderBy(ordcol, F.desc(order) if descending else order).rowsBetween(Window.unboundedPreceding, 0)
-    out = joined.select(*df.columns,
-                        *[(F.col(f"_o_{s}") + F.sum(col(s)).over(wl)).alias(f"{prefix}{s}") for s in sums])
-    return out
+    joined = keyed_join(b, offsets, [*keys, "_bucket"])
+    wl = Window.partitionBy(*keys, "_bucket").orderBy(by).rowsBetween(Window.unboundedPreceding, 0)
+    return joined.select(*df.columns,
+                         *[(F.col(f"_o_{s}") + F.sum(col(s)).over(wl)).alias(f"{prefix}{s}") for s in sums])
+
+
+def value_quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float]) -> DataFrame:
+    """(column, q): exact quantiles by linear interpolation, from the counts of
+    distinct values: no task holds a column's values."""
+    counts = melt(df, [], columns).groupBy("column", "value").agg(F.count(F.lit(1)).alias("_n"))
+    cum = running_totals(counts, ["column"], "value", ["_n"])
+    size = counts.groupBy("column").agg(F.sum("_n").alias("_total"))
+    ranked = small_join(cum, size, on="column", known_rows=len(columns))
+    first, last = F.col("cum__n") - F.col("_n"), F.col("cum__n") - 1   # zero-based places of a value
+    place = [F.lit(float(p)) * (F.col("_total") - 1) for p in probs]
+    at = lambda k: F.max(F.when((first <= k) & (k <= last), F.col("value")))
+    picked = ranked.groupBy("column", "_total").agg(
+        *[at(F.floor(x)).alias(f"_lo{i}") for i, x in enumerate(place)], *[at(F.ceil(x)).alias(f"_hi{i}") for i, x in enumerate(place)])
+    q = [F.col(f"_lo{i}") + (F.col(f"_hi{i}") - F.col(f"_lo{i}")) * (x - F.floor(x)) for i, x in enumerate(place)]
+    return picked.select("column", F.array(*q).alias("q"))
 
 
 def _win(keys: Sequence[str]):
@@ -208,7 +210,7 @@ def hash_rank(df: DataFrame, key_cols: Sequence[str], seed: int | str = 42,
     h = df.withColumn("_h", hash_key(key_cols, seed)).withColumn(
         "_p", F.conv(F.substring("_h", 1, prefix_chars), 16, 10).cast("long"))
     hist = h.groupBy(*strata, "_p").agg(F.count(F.lit(1)).alias("_c"))
-    cum = running_totals(hist, strata, "_p", ["_c"], buckets=16)
+    cum = running_totals(hist, strata, "_p", ["_c"])
     sizes = hist.groupBy(*strata).agg(F.sum("_c").alias(size_col))
     offs = cum.select(*strata, "_p", (F.col("cum__c") - F.col("_c")).alias("_off"))
     if strata:

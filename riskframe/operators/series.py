@@ -13,7 +13,7 @@ import numpy as np
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .core import assign_bucket, bucket_bounds, col, small_join
+from .core import col, keyed_join, range_buckets, small_join
 
 PARTS = {"year": F.year, "month": F.month, "day": F.dayofmonth, "hour": F.hour}
 # pivot columns per frequency (fixed, so the pivot needs no extra distinct job)
@@ -53,25 +53,20 @@ def ordered_series(df: DataFrame, ts: str = "ts", value: str = "value") -> DataF
     return df.select(col(ts), col(value)).where(col(ts).isNotNull()).orderBy(col(ts))
 
 
-def row_index(df: DataFrame, order: Sequence[str], keys: Sequence[str] = (), buckets: int = 64,
+def row_index(df: DataFrame, order: Sequence[str], keys: Sequence[str] = (), buckets: int | None = None,
               out: str = "_idx") -> DataFrame:
-    """Consecutive 0-based position of every row within ``keys`` by ``order``
-    (first column numeric or timestamp; the rest break ties).  Value-range
-    buckets (boundaries computed once) + per-bucket offsets + a window per
-    (key, bucket): no window ever holds a whole key or the table."""
+    """Consecutive 0-based position of every row within ``keys`` by ``order``.
+    Range partitions + per-bucket offsets + a window per (key, bucket): no
+    window ever holds a whole large key or the table."""
     keys = list(keys)
-    first = col(order[0])
-    num = df.withColumn("_o", F.unix_micros(first.cast("timestamp")).cast("double")
-                        if dict(df.dtypes)[order[0]].startswith("timestamp") else first.cast("double"))
-    bounds = bucket_bounds(num, "_o", buckets)
-    b = assign_bucket(num, "_o", bounds)
+    b = range_buckets(df, [F.asc(f"`{c}`") for c in [*keys, *order]], buckets)
     counts = b.groupBy(*keys, "_bucket").agg(F.count(F.lit(1)).alias("_c"))
     wo = (Window.partitionBy(*keys) if keys else Window.partitionBy(F.lit(0))).orderBy("_bucket") \
         .rowsBetween(Window.unboundedPreceding, -1)
     offs = counts.select(*keys, "_bucket", F.coalesce(F.sum("_c").over(wo), F.lit(0)).alias("_off"))
-    j = small_join(b, offs, on=[*keys, "_bucket"], known_rows=(len(bounds) + 1) if not keys else None)
+    j = keyed_join(b, offs, [*keys, "_bucket"])
     w = Window.partitionBy(*keys, "_bucket").orderBy(*[col(c) for c in order])
-    return j.withColumn(out, F.col("_off") + F.row_number().over(w) - 1).drop("_o", "_bucket", "_off")
+    return j.withColumn(out, F.col("_off") + F.row_number().over(w) - 1).drop("_bucket", "_off")
 
 
 def acf(df: DataFrame, order: Sequence[str], value: str = "value", lags: int = 50,

@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import labels as L
-from .core import col, melt, numeric_columns, one_pass, running_totals, safe_corr, small_join
+from .core import col, melt, numeric_columns, one_pass, running_totals, safe_corr, small_join, value_quantiles
 
 
 # --------------------------------------------------------------------------- F7
@@ -28,17 +28,20 @@ def numeric_summary(df: DataFrame, columns: Sequence[str] | None = None, digits:
     p25/p75/p99 (linear interpolation), population skewness, excess
     kurtosis, the IQR as text and a skew verdict (|skew| <= .5 normal)."""
     cols = list(columns) if columns is not None else numeric_columns(df)
-    probs = F.array(*[F.lit(x) for x in (0.25, 0.5, 0.75, 0.99)])
-    # one quantile aggregate per column (a single value -> count map), not one per probability
-    pct = (lambda c: F.percentile(c, probs)) if exact else (lambda c: F.percentile_approx(c, probs, 10000))
+    probs = (0.25, 0.5, 0.75, 0.99)
     s = one_pass(df, cols, {
         "varies": lambda c: F.coalesce(F.min(c) != F.max(c), F.lit(False)),
         "mean": lambda c: F.avg(c).cast("double"),
-        "q": lambda c: pct(c.cast("double")).cast("array<double>"),
         "skew": lambda c: F.skewness(c).cast("double"),
         "kurtosis": lambda c: F.kurtosis(c).cast("double"),
-    }).select("column", "varies", "mean", F.col("q")[0].alias("p25"), F.col("q")[1].alias("median"),
-              F.col("q")[2].alias("p75"), F.col("q")[3].alias("p99"), "skew", "kurtosis")
+    })
+    if exact:
+        q = value_quantiles(df, cols, probs)
+    else:
+        q = one_pass(df, cols, {"q": lambda c: F.percentile_approx(c.cast("double"), list(probs), 10000)})
+    s = small_join(s, q, on="column", how="left", known_rows=len(cols)).select(
+        "column", "varies", "mean", F.col("q")[0].alias("p25"), F.col("q")[1].alias("median"),
+        F.col("q")[2].alias("p75"), F.col("q")[3].alias("p99"), "skew", "kurtosis")
     r = {k: F.round(k, digits).alias(k) for k in ("mean", "median", "p25", "p75", "p99", "skew", "kurtosis")}
     return s.where("varies").select(
         "column", *r.values(),
@@ -83,8 +86,11 @@ def outliers_iqr(df: DataFrame, columns: Sequence[str] | None = None, k: float =
                  exact: bool = True) -> DataFrame:
     """(column, value) rows strictly outside [Q1 − k·IQR, Q3 + k·IQR]."""
     cols = list(columns) if columns is not None else numeric_columns(df)
-    pct = (lambda c, p: F.percentile(c, p)) if exact else (lambda c, p: F.percentile_approx(c, p, 10000))
-    q = one_pass(df, cols, {"q1": lambda c: pct(c, 0.25).cast("double"), "q3": lambda c: pct(c, 0.75).cast("double")})
+    if exact:
+        q = value_quantiles(df, cols, (0.25, 0.75))
+    else:
+        q = one_pass(df, cols, {"q": lambda c: F.percentile_approx(c.cast("double"), [0.25, 0.75], 10000)})
+    q = q.select("column", F.col("q")[0].alias("q1"), F.col("q")[1].alias("q3"))
     iqr = F.col("q3") - F.col("q1")
     q = q.select("column", (F.col("q1") - k * iqr).alias("lower"), (F.col("q3") + k * iqr).alias("upper"))
     j = small_join(melt(df, [], cols), q, on="column", how="inner", known_rows=len(cols))

@@ -10,6 +10,7 @@ significant decimals).  Prints one line per query and a summary.
 from __future__ import annotations
 
 import math
+import os
 import sys
 import time
 from pathlib import Path
@@ -60,7 +61,7 @@ def rows(df: pd.DataFrame) -> list:
 def main() -> None:
     sf_dir = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
     only = set(sys.argv[2:])
-    spark = local_session()
+    spark = local_session(os.environ.get("ORACLE_CPUS", "8"))
     con = duckdb.connect()
     for t in TABLES:
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{sf_dir}/{t}.parquet')")
