@@ -82,6 +82,11 @@ def education_code(c: Column) -> Column:
     return F.when(c.isin(1, 2, 3, 4), c).otherwise(0).cast("int")
 
 
+def pay_status_cast(c: Column) -> Column:
+    """The latest pay status as a whole number."""
+    return c.cast("int")
+
+
 def pay_status(columns: list[str]) -> Column:
     """Any pay column > 0 -> 1; else any == 0 -> 0; else -1 (null-safe);
     no pay column at all -> 0."""

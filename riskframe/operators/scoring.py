@@ -62,6 +62,16 @@ def scorecard_summary(apps: DataFrame, by: str = "segment") -> DataFrame:
     )
 
 
+def append_prediction_log(scored: DataFrame, path: str, ts: str = "ts", request: str = "request_id",
+                          prediction: str = "prediction", probability: str = "score", ms: str = "processing_ms") -> None:
+    """Append request, prediction, probability and milliseconds to the log at
+    ``path``, in folders by date; the log reads back with ``spark.read.parquet``."""
+    (scored.select(col(request).cast("string").alias("request_id"), col(ts).cast("timestamp").alias("ts"),
+                   col(prediction).cast("int").alias("prediction"), col(probability).cast("double").alias("probability"),
+                   col(ms).cast("double").alias("processing_ms"), F.to_date(col(ts)).alias("log_date"))
+     .write.mode("append").partitionBy("log_date").parquet(path))
+
+
 def prediction_stats(log: DataFrame, ts: str = "ts", prediction: str = "prediction",
                      ms: str = "processing_ms") -> DataFrame:
     """L4: total, approval rate, mean processing ms, rows in the last 24 h of the log."""

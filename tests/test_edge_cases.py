@@ -143,3 +143,22 @@ def test_colliding_summaries_raise(spark, tmp_path):
     df = spark.range(1)
     with pytest.raises(ValueError):
         files.write_summaries({"n" * 31 + "1": df, "n" * 31 + "2": df}, str(tmp_path))
+
+
+def test_prediction_log_appends_by_date(spark, tmp_path):
+    from riskframe.operators import scoring
+    rows = [("a", dt.datetime(2024, 1, 1, 5), 1, 0.9, 12.0), ("b", dt.datetime(2024, 1, 2, 5), 0, 0.2, 8.0)]
+    df = spark.createDataFrame(rows, "request_id string, ts timestamp, prediction int, score double, processing_ms double")
+    for _ in range(2):
+        scoring.append_prediction_log(df, f"{tmp_path}/log")
+    log = spark.read.parquet(f"{tmp_path}/log")
+    assert log.count() == 4 and log.where("log_date = '2024-01-01'").count() == 2
+    assert {r.probability for r in log.collect()} == {0.9, 0.2}
+    r = scoring.prediction_stats(log).first()
+    assert (r.total_predictions, r.approval_rate, r.avg_processing_ms, r.last_24h) == (4, 0.5, 10.0, 4)
+
+
+def test_pay_status_cast(spark):
+    from riskframe.functions import labels
+    df = spark.createDataFrame([("-1",), ("2.0",), (None,)], "p string").select(labels.pay_status_cast(F.col("p").cast("double")).alias("v"))
+    assert [r.v for r in df.collect()] == [-1, 2, None]
