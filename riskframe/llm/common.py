@@ -17,12 +17,20 @@ ROOT = Path(__file__).resolve().parents[2]
 MAX_LONG = (1 << 63) - 1
 
 
+#: rows of whole texts that go to a Python worker at once, where the session has Spark's default
+BATCH_ROWS = 1_000
+BATCH_CONF = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
 def prepare(spark: SparkSession) -> None:
-    """Register the checkpoint folder and let executors import this package.
+    """Register the checkpoint folder, bound the batches of texts that Python
+    workers hold (a session's own setting stays) and let executors import this package.
 
     Where the repository is on no worker's path, it is shipped with ``addPyFile``.
     """
     ensure_checkpoint_dir(spark)
+    if spark.conf.get(BATCH_CONF, "10000") == "10000":
+        spark.conf.set(BATCH_CONF, str(BATCH_ROWS))
     known = [Path(p).resolve() for p in os.environ.get("PYTHONPATH", "").split(os.pathsep) if p]
     sc = spark.sparkContext
     if ROOT in known or any("riskframe_pkg" in f for f in sc.listFiles):

@@ -38,7 +38,7 @@ CALIBRATION = 0.3
 REJECT_AT = 8.0
 #: least variance of a language's long texts (nats squared): below it, mixed but real text would be rejected
 SPREAD_FLOOR = 0.0225
-SLICE = 400_000
+SLICE = 200_000
 UNKNOWN = "und"
 #: size of the code space, for the uniform end of the interpolation
 CODE_SPACE = 0x110000
