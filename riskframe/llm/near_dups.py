@@ -14,10 +14,11 @@ the similarity.  Verification aligns the sequences in the band that the
 similarity leaves.
 
 Equal texts are one node.  Work on a bucket of equal sketches goes by leaders:
-each text is first verified against one leader, the smallest it strongly
-agrees with; then only texts of a bucket that are still in different classes
-are paired, so a large group of copies costs a row for each member and no link
-between different texts is lost.  Buckets of more than ``BLOCK`` texts are
+each text is first verified against one leader, of those that lead its
+buckets the one it agrees with most; then only texts of a bucket that are
+still in different classes are aligned, inside the task that holds the bucket
+and until their classes meet, so a large group of copies costs a row for each
+member and no link between different classes is lost.  Buckets of more than ``BLOCK`` texts are
 worked on in blocks, whose leaders meet again on the next level.
 
 Results for odd input: null and empty texts are equal to each other and to
@@ -44,7 +45,7 @@ SIMILARITY = 0.8
 SKETCHES = 32
 TAKEN = 4
 #: agreeing sketches: of a candidate, and of a text and its leader
-AGREE = 2
+AGREE = 3
 STRONG = 8
 #: texts of a bucket that one task compares
 BLOCK = 2_048
@@ -93,16 +94,16 @@ def sketches(x: np.ndarray) -> np.ndarray:
     return code
 
 
-def aligned_similarity(a: np.ndarray, b: np.ndarray, least: float = SIMILARITY) -> float:
+def aligned_similarity(a: np.ndarray, b: np.ndarray, least: float = SIMILARITY, order: np.ndarray | None = None) -> float:
     """c / (len a + len b - c) for the longest common subsequence c in the band
-    that ``least`` leaves; no element repeats in a or in b."""
+    that ``least`` leaves; no element repeats in a or in b (order: argsort of b)."""
     n, m = len(a), len(b)
     if not n or not m:
         return float(n == m)
     band = int((n + m) * (1 - least) / (1 + least)) + 1
     if abs(n - m) > band:
         return 0.0
-    order = np.argsort(b)
+    order = np.argsort(b) if order is None else order
     at = np.minimum(np.searchsorted(b[order], a), m - 1)
     place = order[at]
     hit = (b[place] == a) & (np.abs(place - np.arange(n)) <= band)
@@ -188,29 +189,67 @@ def _pairs(a, b) -> pa.Table:
 
 
 def _leaders(rows: pa.Table) -> pa.Table:
-    """(a, b): each node b of the bucket with its leader a (itself for a leader)."""
+    """(a, b, agree): each node b of the bucket with its leader a (itself for a leader).
+
+    Nodes that agree strongly with more others lead first: of a text and its
+    edited copies that is the text, to which each copy is nearer than to
+    another copy.
+    """
     _, node, sketch, n = _frame(rows)
-    strong = _agreement(sketch, n) >= STRONG
-    lead = np.arange(len(node))
-    is_leader = np.ones(len(node), bool)
-    for i in range(1, len(node)):
-        found = np.flatnonzero(strong[i, :i] & is_leader[:i])
-        if len(found):
-            lead[i], is_leader[i] = found[0], False
-    return _pairs(node[lead], node)
+    agree = _agreement(sketch, n)
+    strong = agree >= STRONG
+    lead = np.full(len(node), -1)
+    for i in np.argsort(-(agree * strong).sum(axis=1), kind="stable"):
+        if lead[i] < 0:
+            lead[i] = i
+            lead[strong[i] & (lead < 0)] = i
+    return _pairs(node[lead], node).append_column("agree", pa.array(agree[lead, np.arange(len(node))], pa.int32()))
+
+
+def _candidate_matrix(rows: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(order, pairs, agreement): candidate pairs of the bucket in different
+    classes, where this bucket is the first that the pair shares."""
+    order, _, sketch, n = _frame(rows)
+    label = rows["label"].to_numpy()[order]
+    agree = _agreement(sketch, n)
+    ok = np.triu(agree >= AGREE, 1) & (label[:, None] != label[None, :])
+    for k in range(int(rows["j"][0].as_py())):
+        ok &= sketch[:, None, k] != sketch[None, :, k]
+    return order, ok, agree
+
+
+def _involved(rows: pa.Table) -> pa.Table:
+    """The rows of a bucket that are in a candidate pair."""
+    order, ok, _ = _candidate_matrix(rows)
+    return rows.take(pa.array(order[ok.any(axis=0) | ok.any(axis=1)]))
 
 
 def _others(rows: pa.Table) -> pa.Table:
-    """(a, b): candidate pairs of the bucket in different classes, where this
-    bucket is the first that the pair shares."""
-    order, node, sketch, n = _frame(rows)
-    label = rows["label"].to_numpy()[order]
-    j = int(rows["j"][0].as_py())
-    ok = np.triu(_agreement(sketch, n) >= AGREE, 1) & (label[:, None] != label[None, :])
-    for k in range(j):
-        ok &= sketch[:, None, k] != sketch[None, :, k]
+    """(a, b): links between the classes of a bucket.  Pairs are aligned here,
+    those that agree most first, until their classes have met."""
+    order, ok, agree = _candidate_matrix(rows)
+    node, label = rows["node"].to_numpy()[order], rows["label"].to_numpy()[order].tolist()
+    text = rows["text"].to_pylist()
+    seq = labelled_shingles([text[i] for i in order])
+    sort = [np.argsort(s) for s in seq]
+    root = {k: k for k in label}
+
+    def find(k: int) -> int:
+        while root[k] != k:
+            root[k] = root[root[k]]
+            k = root[k]
+        return k
+
     x, y = np.nonzero(ok)
-    return _pairs(node[x], node[y])
+    best = np.argsort(-agree[x, y], kind="stable")
+    a, b = [], []
+    for i, j in zip(x[best].tolist(), y[best].tolist()):
+        u, v = find(label[i]), find(label[j])
+        if u != v and aligned_similarity(seq[i], seq[j], order=sort[j]) >= SIMILARITY:
+            root[v] = u
+            a.append(node[i])
+            b.append(node[j])
+    return _pairs(a, b)
 
 
 def _blocked(rows: DataFrame, level: int) -> DataFrame:
@@ -228,7 +267,7 @@ def _meetings(marked: DataFrame) -> DataFrame:
     """The rows of mixed buckets with groups (key, p, q) in which every candidate
     pair of different classes meets.
 
-    A candidate agrees in two sketches, so the texts of a bucket of more than
+    A candidate agrees in more than one sketch, so the texts of a bucket of more than
     ``BLOCK`` are dealt by each of their later sketches; what is then still larger
     is cut into blocks, of which every two meet.
     """
@@ -285,25 +324,24 @@ def components(links: DataFrame) -> DataFrame:
 
 def classes(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """(h1, h2, id, class_id, links): for each distinct text its smallest key, the
-    smallest key of its class and the number of texts it was found linked to."""
+    smallest key of its class and the links of its text that were needed to find it."""
     nodes = nodes_of(docs, key, text)
     rows = bucket_rows(nodes).checkpoint()
     # buckets of two: the smaller key leads
     member = F.struct("id", "node", "n")
     two = rows.where("size = 2").groupBy("key").agg(F.min(member).alias("x"), F.max(member).alias("y"))
     fit = F.least("x.n", "y.n") >= SIMILARITY * F.greatest("x.n", "y.n")
-    star = two.where(fit).select(F.col("x.node").alias("a"), F.col("y.node").alias("b"))
+    star = two.where(fit).select(F.col("x.node").alias("a"), F.col("y.node").alias("b"), F.lit(0).alias("agree"))
     # leaders of the others, level by level where a bucket has more than one block
     level, at = 0, rows.where("size > 2")
-    schema = "j short, key long, a long, b long"
+    schema = "key long, a long, b long, agree int"
     while True:
         def led(t: pa.Table) -> pa.Table:
             p = _leaders(t)
-            return pa.table([pa.array([t["j"][0].as_py()] * len(p), pa.int16()), pa.array([t["key"][0].as_py()] * len(p), pa.int64()),
-                             p["a"], p["b"]], names=["j", "key", "a", "b"])
+            return p.add_column(0, "key", pa.array([t["key"][0].as_py()] * len(p), pa.int64()))
 
         got = _blocked(at, level).groupBy("key", "block").applyInArrow(led, schema).checkpoint()
-        star = star.union(got.where("a <> b").select("a", "b"))
+        star = star.union(got.where("a <> b").select("a", "b", "agree"))
         again = at.where(F.col("size") > BLOCK)
         if not again.limit(1).count():
             break
@@ -320,14 +358,15 @@ def classes(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFra
     source = docs.select(F.coalesce(F.col(f"`{key}`").cast("long"), F.lit(MAX_LONG)).alias("id"), h1.alias("h1"), h2.alias("h2"),
                          F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("text"))
     texts = source.join(own, ["h1", "h2", "id"]).groupBy("node").agg(F.first("text").alias("text")).checkpoint()
-    tried = star.groupBy("b").agg(F.min("a").alias("a")).select("a", "b").checkpoint()
+    best = F.max(F.struct("agree", (-F.col("a")).alias("o"))).alias("t")
+    tried = star.groupBy("b").agg(best).select((-F.col("t.o")).alias("a"), "b").checkpoint()
     links = verified(tried, texts)
     label = components(links)
     # what the leaders left apart: candidates of a bucket in different classes
     marked = rows.join(label, "node", "left").withColumn("label", F.coalesce("label", "node"))
-    rest = (_meetings(marked).groupBy("key", "p", "q").applyInArrow(_others, PAIRS).distinct()
-            .join(tried, ["a", "b"], "left_anti").checkpoint())
-    links = links.union(verified(rest, texts))
+    meeting = _meetings(marked)
+    few = meeting.groupBy("key", "p", "q").applyInArrow(_involved, meeting.schema).checkpoint()
+    links = links.union(few.join(texts, "node").groupBy("key", "p", "q").applyInArrow(_others, PAIRS).checkpoint())
     label = components(links)
     degree = links.select(F.col("a").alias("node")).union(links.select("b")).groupBy("node").agg(F.count("*").alias("links"))
     out = nodes.join(label, "node", "left").join(degree, "node", "left").withColumn("label", F.coalesce("label", "node"))
