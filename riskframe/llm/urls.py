@@ -90,11 +90,12 @@ def host_scores(pages: DataFrame) -> DataFrame:
     moves = (edges.join(out, "src").select(F.col("src").alias("host"), F.col("dst").alias("to"),
                                            (DAMPING * F.col("weight") / F.col("total")).alias("t"), F.lit(0.0).alias("d"))
              .union(edges.join(into, "dst").select("dst", "src", F.lit(0.0), DAMPING * F.col("weight") / F.col("total")))
-             .groupBy("host", "to").agg(F.sum("t").alias("t"), F.sum("d").alias("d")).checkpoint())
+             .groupBy("host", "to").agg(F.sum("t").alias("t"), F.sum("d").alias("d")).repartition("host").persist())
     score = seeds
     for turn in range(1, ROUNDS + 1):
-        sent = score.join(moves, "host").groupBy("to").agg(F.sum(F.col("trust") * F.col("t")).alias("trust"),
-                                                           F.sum(F.col("distrust") * F.col("d")).alias("distrust"))
+        # moves stay where their host is, so a round has one exchange: that of the sums
+        sent = score.join(moves, "host").select(F.col("to").alias("host"), (F.col("trust") * F.col("t")).alias("trust"),
+                                                (F.col("distrust") * F.col("d")).alias("distrust"))
         new = seeds.union(sent).groupBy("host").agg(F.sum("trust").alias("trust"), F.sum("distrust").alias("distrust"))
         if turn % CUT == 0 or turn == ROUNDS:
             last, score = score, new.checkpoint()
@@ -105,6 +106,7 @@ def host_scores(pages: DataFrame) -> DataFrame:
                 break
         else:
             score = new
+    moves.unpersist()
     return score
 
 
