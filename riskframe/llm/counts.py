@@ -30,6 +30,8 @@ from riskframe.llm.tokens import ODD_BREAKS, WordIds, open_tokenizer
 
 TOKENIZER = "word_bpe_49k.json"
 EDITS = "array<struct<start:long,deleted:long,inserted:string>>"
+#: texts whose new words go to the tokenizer together
+TOGETHER = 64
 COUNTS = "n_tokens long, edited_tokens long, edited_chars long, encoded_chars long"
 
 
@@ -46,8 +48,7 @@ class SegmentTree:
         if len(starts) and starts[0]:  # leading blanks are a leaf of no token
             starts, runs = np.append(0, starts), ["", *runs]
         if len(starts) and len(runs) == len(starts):
-            coder.learn({r for r in runs if r})
-            tokens = np.array([len(coder.runs[r]) if r else 0 for r in runs]) // 4
+            tokens = coder.counts(runs)
         else:
             starts, tokens = np.zeros(1, np.int64), np.array([self.encoded(text)])
         self.text = text
@@ -92,29 +93,32 @@ class SegmentTree:
         end = self.starts[leaf + 1] if leaf + 1 < self.leaves else len(self.text)
         return self.text[self.starts[leaf]:end]
 
-    def _put(self, leaf: int, text: str) -> None:
-        self.new[leaf] = text
-        node = leaf + self.size
-        change = np.array([len(text), self.encoded(text) if text else 0]) - self.sums[:, node]
-        while node:
-            self.sums[:, node] += change
-            node //= 2
+    def _put(self, first: int, last: int, text: str) -> None:
+        """``text`` into the leaf ``first``, nothing into those after it up to ``last``."""
+        at = self.size + first
+        for leaf in range(first, last + 1):
+            self.new[leaf] = ""
+        self.new[first] = text
+        self.sums[:, at:self.size + last + 1] = 0
+        self.sums[0, at], self.sums[1, at] = len(text), self.encoded(text) if text else 0
+        low, high = at // 2, (self.size + last) // 2
+        while low:
+            below = self.sums[:, 2 * low:2 * high + 2]
+            self.sums[:, low:high + 1] = below[:, 0::2] + below[:, 1::2]
+            low, high = low // 2, high // 2
 
     def edit(self, start: int, deleted: int, inserted: str) -> int:
         """Apply one edit; returns how many code points were encoded anew."""
         start = min(start, self.chars)
         end = min(start + deleted, self.chars)
         if not self.chars:
-            self._put(0, inserted)
+            self._put(0, self.leaves - 1, inserted)
             return len(inserted)
         first, begin = self.leaf_at(max(0, start - 1))
         last, _ = self.leaf_at(min(end, self.chars - 1))
         old = "".join(self.leaf_text(i) for i in range(first, last + 1))
         text = old[:start - begin] + inserted + old[end - begin:]
-        self._put(first, text)
-        for leaf in range(first + 1, last + 1):
-            if self.sums[0, leaf + self.size]:
-                self._put(leaf, "")
+        self._put(first, last, text)
         return len(text)
 
     def whole_text(self) -> str:
@@ -125,21 +129,24 @@ def count_with_edits(docs: DataFrame, text: str = "text", edits: str = "edits",
     """``docs`` plus n_tokens, and edited_tokens, edited_chars and encoded_chars
     (code points encoded for the edits) after the edits of each row (``EDITS``)."""
     @F.pandas_udf(COUNTS)
-    def counted(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
+    def counted(batches: Iterator[tuple[pd.Series, pd.Series, pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
         coder = open_tokenizer(tokenizer)
-        for texts, changes in batches:
+        number = lambda x: 0 if x is None or x != x else max(0, int(x))
+        for texts, *changes in batches:
             rows = []
-            for t, own in zip(texts, changes):
+            for i, (t, *own) in enumerate(zip(texts, *changes)):
+                if i % TOGETHER == 0:
+                    coder.learn_texts(texts.iloc[i:i + TOGETHER])
                 tree = SegmentTree(t if isinstance(t, str) else "", coder)
                 before, done = tree.tokens, 0
-                for e in (own if own is not None else ()):
-                    if e is not None:
-                        place = [0 if e[k] is None or e[k] != e[k] else max(0, int(e[k])) for k in ("start", "deleted")]
-                        done += tree.edit(*place, e["inserted"] or "")
+                for start, deleted, inserted in zip(*(x if x is not None else () for x in own)):
+                    done += tree.edit(number(start), number(deleted), inserted or "")
                 rows.append((before, tree.tokens, tree.chars, done))
             yield pd.DataFrame(rows, columns=["n_tokens", "edited_tokens", "edited_chars", "encoded_chars"], dtype="int64")
 
-    got = counted(F.col(f"`{text}`"), F.col(f"`{edits}`").cast(EDITS))
+    log = F.filter(F.col(f"`{edits}`").cast(EDITS), lambda e: e.isNotNull())
+    part = [log.getField(k) for k in ("start", "deleted", "inserted")]
+    got = counted(F.col(f"`{text}`"), *part)
     return replace_columns(docs, got, "n_tokens", "edited_tokens", "edited_chars", "encoded_chars")
 
 

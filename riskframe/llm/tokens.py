@@ -13,6 +13,8 @@ import numpy as np
 REMEMBERED = 300_000
 #: ASCII marks that the tokenizer always splits from letters before them
 MARKS = ".,!?;:%#&*$|"
+#: texts from this length on are learned by themselves
+LONG = 1_000_000
 #: code points that Python splits at but the tokenizer does not
 ODD_BREAKS = ("\x1c", "\x1d", "\x1e", "\x1f")
 
@@ -48,6 +50,7 @@ class WordIds:
             self.runs.clear()
         if len(self.words) > REMEMBERED:
             self.words.clear()
+        self.runs[""] = b""
         split, new = [], set()
         for run in runs.difference(self.runs):
             word = run.rstrip(MARKS)
@@ -65,11 +68,31 @@ class WordIds:
         for run, low, tail in split:
             self.runs[run] = self.words[low] + self.words[tail] if tail else self.words[low]
 
+    def learn_texts(self, texts) -> None:
+        """Remember the runs of several texts with one call of the tokenizer."""
+        runs: set[str] = set()
+        for t in texts:
+            if isinstance(t, str) and len(t) < LONG:
+                runs.update(t.split())
+        self.learn(runs)
+
+    def counts(self, runs: list[str]) -> np.ndarray:
+        """Numbers of tokens of these runs."""
+        for _ in range(2):
+            try:
+                return np.fromiter(map(len, map(self.runs.__getitem__, runs)), np.int64, len(runs)) // 4
+            except KeyError:
+                self.learn(set(runs))
+        return np.array([len(self._direct(r)) // 4 for r in runs])
+
     def ids(self, text: str) -> bytes:
         if any(c in text for c in ODD_BREAKS):
             return self._direct(text)
         runs = text.split()
-        self.learn(set(runs))
+        try:
+            return b"".join(map(self.runs.__getitem__, runs))
+        except KeyError:
+            self.learn(set(runs))
         return b"".join(map(self.runs.__getitem__, runs))
 
 
