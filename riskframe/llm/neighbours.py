@@ -33,7 +33,7 @@ from riskframe.llm.common import hash_share, prepare, sample_share, table
 #: bound of the fit: about so many distinct vectors
 SAMPLE = 6_000
 #: distinct vectors of a part, and most parts
-PART_ROWS = 512
+PART_ROWS = 2_048
 MAX_PARTS = 256
 #: a query visits so many of its most probable parts that held-out queries of
 #: the sample find this share of their true neighbours (by brute force)
@@ -241,9 +241,11 @@ def _meet(keep: int):
         at, score = nearest_in_block(q, c, index["vid"].to_numpy(), keep)
         ids = index["ids"].to_list()
         found = pd.DataFrame({"qid": np.repeat(queries["qid"].to_numpy(), at.shape[1]), "at": at.ravel(), "score": score.ravel()})
+        # what the query's first part has beaten already is not needed
+        found = found[score.ravel() >= np.repeat(queries["floor"].to_numpy(np.float64), at.shape[1])]
         if max(map(len, ids)) == 1:  # no copies here
             return found.assign(vec_id=np.array([i[0] for i in ids])[found["at"]])[["qid", "vec_id", "score"]]
-        found = found.assign(vec_id=[ids[i] for i in found["at"]]).explode("vec_id").astype({"vec_id": np.int64})
+        found = found.assign(vec_id=[ids[i] for i in found["at"]]).explode("vec_id").astype({"vec_id": np.int64, "score": np.float64})
         found = found.sort_values(["qid", "score", "vec_id"], ascending=[True, False, True], kind="stable")
         return found.groupby("qid", sort=False).head(keep)[["qid", "vec_id", "score"]]
     return meet
@@ -260,20 +262,32 @@ def search(rows: DataFrame, is_query, k: int = 20) -> DataFrame:
     asked = valid.where(is_query).select(F.col("vec_id").alias("query_id"), "v").join(index.select("v", "vid"), "v")
     asked = asked.select("query_id", F.col("vid").alias("qid"), "v").checkpoint()
     once = asked.groupBy("qid").agg(F.min("v").alias("v"))
-    visits = routed(once, router, probes).select("qid", "v", F.explode("parts").alias("part")).checkpoint()
-    # blocks of each part (at most MAX_PARTS rows come to the driver)
+    visits = routed(once, router, probes).select("qid", "v", F.posexplode("parts").alias("turn", "part")).checkpoint()
+    # rows of each part (at most MAX_PARTS rows come to the driver)
     sizes = {r["part"]: r["count"] for r in filed.groupBy("part").count().collect()}
-    loads = {r["part"]: r["count"] for r in visits.groupBy("part").count().collect()}
-    plan = spark.createDataFrame([(p, -(-sizes.get(p, 0) // INDEX_BLOCK) or 1, -(-loads.get(p, 0) // QUERY_BLOCK) or 1) for p in range(parts)],
-                                 "part int, index_blocks int, query_blocks int")
-    turn = lambda key, n: F.pmod(F.xxhash64(key), n).cast("int")
-    left = (visits.join(F.broadcast(plan), "part").withColumn("qb", turn("qid", F.col("query_blocks")))
-            .withColumn("ib", F.explode(F.sequence(F.lit(0), F.col("index_blocks") - 1))))
-    right = (filed.join(F.broadcast(plan), "part").withColumn("ib", turn("vid", F.col("index_blocks")))
-             .withColumn("qb", F.explode(F.sequence(F.lit(0), F.col("query_blocks") - 1))))
-    met = left.select("part", "ib", "qb", "qid", "v").groupBy("part", "ib", "qb").cogroup(
-        right.select("part", "ib", "qb", "vid", "v", "ids").groupBy("part", "ib", "qb")).applyInPandas(
-        _meet(keep), "qid long, vec_id long, score double")
+    hash_turn = lambda key, n: F.pmod(F.xxhash64(key), n).cast("int")
+
+    def visited(queries: DataFrame) -> DataFrame:
+        """The best rows of each query's parts, block by block."""
+        loads = {r["part"]: r["count"] for r in queries.groupBy("part").count().collect()}
+        plan = spark.createDataFrame([(p, -(-sizes.get(p, 0) // INDEX_BLOCK) or 1, -(-loads.get(p, 0) // QUERY_BLOCK) or 1) for p in range(parts)],
+                                     "part int, index_blocks int, query_blocks int")
+        left = (queries.join(F.broadcast(plan), "part").withColumn("qb", hash_turn("qid", F.col("query_blocks")))
+                .withColumn("ib", F.explode(F.sequence(F.lit(0), F.col("index_blocks") - 1))))
+        right = (filed.join(F.broadcast(plan), "part").withColumn("ib", hash_turn("vid", F.col("index_blocks")))
+                 .withColumn("qb", F.explode(F.sequence(F.lit(0), F.col("query_blocks") - 1))))
+        return left.select("part", "ib", "qb", "qid", "v", "floor").groupBy("part", "ib", "qb").cogroup(
+            right.select("part", "ib", "qb", "vid", "v", "ids").groupBy("part", "ib", "qb")).applyInPandas(
+            _meet(keep), "qid long, vec_id long, score double")
+
+    # the most probable part first: its last wanted score bounds what the others may return
+    lowest = F.lit(float("-inf"))
+    near = visited(visits.where("turn = 0").withColumn("floor", lowest)).checkpoint()
+    place = F.row_number().over(Window.partitionBy("qid").orderBy(F.desc("score"), "vec_id"))
+    floors = near.withColumn("n", place).where(F.col("n") == keep).select("qid", F.col("score").alias("floor"))
+    met = near
+    if probes > 1:
+        met = near.union(visited(visits.where("turn > 0").join(floors, "qid", "left").withColumn("floor", F.coalesce("floor", lowest))))
     order = [F.desc("score"), F.col("vec_id")]
     best = met.withColumn("n", F.row_number().over(Window.partitionBy("qid").orderBy(*order))).where(F.col("n") <= keep).drop("n")
     answers = asked.select("query_id", "qid").join(best, "qid").where(F.col("vec_id") != F.col("query_id"))
