@@ -134,6 +134,24 @@ def test_classes_equal_brute_force(spark, rows, block, monkeypatch):
     assert sum(r.representative for r in got) == len(set(want.values()))
 
 
+def test_similar_texts_of_few_shingles_meet(spark):
+    """Four of five shingles, and eight of ten, among others that hold the same
+    shingles: too little for many equal sketches."""
+    rng = random.Random(11)
+    word = lambda: "".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(8))
+    data = []
+    for i in range(60):
+        w = [word() for _ in range(8 if i % 3 else 12)]
+        data.append((100 * i, " ".join(w)))
+        for k in range(1, 13):
+            more = [word() for _ in range(1 if i % 3 else 2)]
+            at = rng.choice((0, len(w)))
+            data.append((100 * i + k, " ".join(w[:at] + more + w[at:])))
+    assert {(0, k) for k in range(1, 13)} <= brute_links(data[:13])
+    got = near_dups.near_duplicates(spark.createDataFrame(data, "doc_id long, text string")).collect()
+    assert [r.doc_id for r in got if r.class_id != r.doc_id - r.doc_id % 100] == []
+
+
 def test_alignment_equals_the_whole_table():
     rng = np.random.default_rng(9)
     for _ in range(40):
