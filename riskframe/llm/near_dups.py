@@ -354,8 +354,10 @@ def components(links: DataFrame) -> DataFrame:
 
 
 def classes(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """(h1, h2, id, class_id, links): for each distinct text its smallest key, the
-    smallest key of its class and the links of its text that were needed to find it."""
+    """(h1, h2, id, class_id, class_text, head, links): for each distinct text its
+    smallest key; the smallest key of its class, the hash of the text that has it
+    (of several the smallest hash) and whether this is that text, its class's head;
+    the links of the text that were needed to find the class."""
     nodes = nodes_of(docs, key, text)
     rows = bucket_rows(nodes).checkpoint()
     # buckets of two: the smaller key leads
@@ -401,29 +403,36 @@ def classes(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFra
     label = components(links)
     degree = links.select(F.col("a").alias("node")).union(links.select("b")).groupBy("node").agg(F.count("*").alias("links"))
     out = nodes.join(label, "node", "left").join(degree, "node", "left").withColumn("label", F.coalesce("label", "node"))
-    best = out.groupBy("label").agg(F.min("id").alias("class_id"))
-    return out.join(best, "label").select("h1", "h2", "id", "class_id", F.coalesce("links", F.lit(0)).alias("links")).checkpoint()
+    best = out.groupBy("label").agg(F.min(F.struct("id", "h1", "h2")).alias("best"))
+    head = (F.col("h1") == F.col("best.h1")) & (F.col("h2") == F.col("best.h2"))
+    return out.join(best, "label").select("h1", "h2", "id", F.col("best.id").alias("class_id"), F.col("best.h1").alias("class_text"),
+                                          head.alias("head"), F.coalesce("links", F.lit(0)).alias("links")).checkpoint()
 
 
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """The key, class_id (the smallest key of the document's class; null only if
-    all its keys are null), representative (the key is class_id) and links."""
+    all its keys are null), class_text (the hash of the text that stands for the
+    class), representative (the row has that text and class_id as its key) and links.
+
+    A class is named by (class_id, class_text): classes of unlike texts whose keys
+    are null or repeat have the same class_id."""
     h1, h2 = text_hashes(text)
     found = classes(docs, key, text)
     rows = docs.select(F.col(f"`{key}`").alias(key), h1.alias("h1"), h2.alias("h2"))
     got = rows.join(found, ["h1", "h2"])
-    whole = F.when(F.col("class_id") < MAX_LONG, F.col("class_id"))
-    return got.select(key, whole.alias("class_id"), F.coalesce(F.col(key).cast("long") == whole, F.lit(False)).alias("representative"), "links")
+    own = F.coalesce(F.col(key).cast("long"), F.lit(MAX_LONG))
+    return got.select(key, F.when(F.col("class_id") < MAX_LONG, F.col("class_id")).alias("class_id"), "class_text",
+                      (F.col("head") & (own == F.col("class_id"))).alias("representative"), "links")
 
 
 def representatives(docs: DataFrame) -> DataFrame:
     """One document of each class: the row of the smallest doc_id; of rows that
-    repeat it, one."""
+    repeat it, the one of the smallest hash of the text."""
     h1, h2 = text_hashes()
-    found = classes(docs.select("doc_id", "text")).where(F.col("id") == F.col("class_id")).select("h1", "h2", F.col("id").alias("__id"))
+    found = classes(docs.select("doc_id", "text")).where("head").select("h1", "h2", F.col("id").alias("__id"))
     rows = docs.withColumn("__id", F.coalesce(F.col("doc_id").cast("long"), F.lit(MAX_LONG))).withColumn("__h1", h1).withColumn("__h2", h2)
     kept = rows.join(found.withColumnsRenamed({"h1": "__h1", "h2": "__h2"}), ["__id", "__h1", "__h2"])
-    return kept.dropDuplicates(["__id"]).select(*[f"`{c}`" for c in docs.columns])
+    return kept.dropDuplicates(["__id", "__h1", "__h2"]).select(*[f"`{c}`" for c in docs.columns])
 
 
 def op8_minhash_near_dedup(spark, sf_dir: str) -> DataFrame:

@@ -184,6 +184,19 @@ def test_near_duplicates_of_odd_rows(odd, none):
     assert near_dups.near_duplicates(none).count() == 0 and near_dups.representatives(none).count() == 0
 
 
+def test_unlike_texts_without_or_with_equal_ids_stay(spark, rows):
+    near = rows[2][1] + " more"
+    data = [(None, rows[0][1]), (None, rows[1][1]), (None, rows[1][1]), (7, rows[2][1]), (7, rows[3][1]), (7, near), (8, rows[3][1] + " more")]
+    docs = spark.createDataFrame(data, "doc_id long, text string")
+    kept = Counter(tuple(r) for r in near_dups.representatives(docs).collect())
+    assert set(kept.values()) == {1} and sum(t in (rows[2][1], near) for _, t in kept) == 1
+    assert {(k, t) for k, t in kept if t not in (rows[2][1], near)} == {(None, rows[0][1]), (None, rows[1][1]), (7, rows[3][1])}
+    got = near_dups.near_duplicates(docs).collect()
+    assert sorted(Counter((r.class_id, r.class_text) for r in got).values()) == [1, 2, 2, 2]
+    heads = Counter((r.class_id, r.class_text) for r in got if r.representative)
+    assert sorted(heads.values()) == [1, 1, 1, 2]  # the row without an id that repeats
+
+
 def brute_line_dedup(docs):
     """Documents in order; each against the earliest holder of its lines."""
     first, out = {}, {}
