@@ -1,20 +1,21 @@
 """Line dedup by pairwise alignment.
 
 A line of at least ``TELLING`` words is telling: the same one in two documents
-is no accident.  A shorter line counts together with its place: with the
-telling line before it and the short lines since (before the first telling
-line: with the telling line that follows; in a text without any: with the
-whole text).  The n-th occurrence of a line in a document is another key than
+is no accident.  A shorter line counts together with its neighbours: with the
+lines before it, as many as reach ``TELLING`` words with it, and likewise with the
+lines after it (blank lines do not count).  Such a window is a key of its own, so
+a passage of short lines is found wherever it stands, and a changed line is in
+the windows near it only.  In scripts written without blanks each character
+counts as a word.  The n-th occurrence of a key in a document is another key than
 the first.
 
 For each key the earliest document that holds it is found by a partial
 aggregate, so a line that a third of all documents share costs one row per
-task, and each document meets one earlier document per line, never all.  A
-document and each earlier one that it meets are aligned by patience: the keys
-both hold are unique on either side, and the longest increasing sequence of
-their places is the alignment.  Aligned lines form blocks (neighbours in both
-documents); blocks of at least ``BLOCK_WORDS`` words go from the later document.  The
-earliest holder of a line keeps it, so no text is lost from the corpus.
+task.  A document and each earlier one that it meets are aligned by patience:
+the longest increasing sequence of the places of the lines both hold is the
+alignment.  Aligned lines form blocks (neighbours in both documents); blocks of at
+least ``BLOCK_WORDS`` words go from the later document.  The earliest holder of a line keeps it, so
+no text is lost from the corpus.
 
 "Earlier" is the order of (doc_id, hash of the text), null doc_id last.  A
 document whose every line that is not blank went is dropped by ``deduped``.
@@ -27,6 +28,7 @@ result; other columns pass through (n_chars is renewed where text changed).
 
 from __future__ import annotations
 
+import re
 from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterator
@@ -41,8 +43,13 @@ from riskframe.llm.common import MAX_LONG, prepare, table
 
 TELLING = 8
 BLOCK_WORDS = 8
-FOUND = "array<struct<pos:int,words:int,source:long,source_hash:long,source_pos:int>>"
-KEYS = "id long, hash long, k1 long, k2 long, pos int, words int"
+#: place: number of the line among those that are not blank; sizes: words (255 at
+#: most) of the lines of the key's window; back: the window ends at the place
+KEYS = "id long, hash long, k1 long, k2 long, place int, sizes binary, back boolean"
+KINDS = (pa.int64(),) * 4 + (pa.int32(), pa.binary(), pa.bool_())
+#: letters of scripts written without blanks (Thai, Lao, Burmese, Khmer, kana, Han)
+UNSPACED = "\u0e01-\u0eff\u1000-\u109f\u1780-\u17ff\u3041-\u30ff\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff\U00020000-\U0003ffff"
+_UNITS = re.compile(f"[{UNSPACED}]|[^\\s{UNSPACED}]+")
 
 
 def _key(*parts: bytes) -> bytes:
@@ -53,38 +60,71 @@ def _key(*parts: bytes) -> bytes:
     return h.digest()
 
 
-def line_keys(text: str) -> list[tuple[bytes, int, int]]:
-    """(key, place, words) of each line that is not blank."""
-    lines = text.split("\n")
-    sizes = [len(x.split()) for x in lines]
-    raw = [x.strip().encode("utf-8", "surrogatepass") for x in lines]
-    told = [i for i, n in enumerate(sizes) if n >= TELLING]
+def words_of(line: str) -> int:
+    return len(line.split()) if line.isascii() else len(_UNITS.findall(line))
+
+
+def sizes_of(text: str) -> tuple[list[str], list[int], list[int]]:
+    """The lines that are not blank, their places in the text and their words."""
+    at = [(x.strip(), i) for i, x in enumerate(text.split("\n")) if x.strip()]
+    return [x for x, _ in at], [i for _, i in at], [words_of(x) for x, _ in at]
+
+
+def windows(text: str) -> list[tuple[bytes, int, list[int], bool]]:
+    """(key, place, words of its lines, back) for each telling line and for the
+    windows before and after each short line, where they reach ``TELLING`` words."""
+    lines, _, sizes = sizes_of(text)
+    raw = [x.encode("utf-8", "surrogatepass") for x in lines]
     out, seen = [], Counter()
-    context = _key(b"before", raw[told[0]]) if told else _key(b"all", *raw)
+
+    def add(key: bytes, place: int, words: list[int], back: bool) -> None:
+        seen[key] += 1
+        out.append((_key(key, seen[key].to_bytes(8, "little")) if seen[key] > 1 else key, place, words, back))
+
     for i, n in enumerate(sizes):
-        if not n:
-            continue
         if n >= TELLING:
-            key = _key(raw[i])
-            context = key
-        else:
-            key = context = _key(b"short", context, raw[i])
-        seen[key] += 1
-        if seen[key] > 1:
-            key = _key(key, seen[key].to_bytes(8, "little"))
-        out.append((key, i, n))
+            add(_key(raw[i]), i, [n], False)
+            continue
+        b, total = i, n
+        while total < TELLING and b > 0:
+            b -= 1
+            total += sizes[b]
+        if total >= TELLING:
+            add(_key(b"back", *raw[b:i + 1]), i, sizes[b:i + 1], True)
+        e, total = i, n
+        while total < TELLING and e < len(sizes) - 1:
+            e += 1
+            total += sizes[e]
+        if total >= TELLING:
+            add(_key(b"ahead", *raw[i:e + 1]), i, sizes[i:e + 1], False)
     return out
 
 
+def line_keys(text: str) -> list[tuple[bytes, int, int]]:
+    """(key, place in the text, words) of each line with a key."""
+    _, at, sizes = sizes_of(text)
+    return [(key, at[place], sizes[place]) for key, place, _, _ in windows(text)]
+
+
+def _spread(f: dict) -> Iterator[tuple[int, int, int]]:
+    """(place, place in the source, words) of the lines of a shared window."""
+    sizes = f.get("sizes")
+    if sizes is None:
+        yield f["pos"], f["source_pos"], f["words"]
+        return
+    first = 1 - len(sizes) if f["back"] else 0
+    for k, n in enumerate(sizes):
+        yield f["pos"] + first + k, f["source_pos"] + first + k, n
+
+
 def aligned(found: list[dict]) -> set[int]:
-    """Places of the lines that go, from the lines a document shares with the
-    earliest holder of each."""
-    by_source: dict[tuple, list[tuple[int, int, int]]] = {}
+    """Places of the lines that go, from the keys a document shares with earlier ones."""
+    by_source: dict[tuple, set[tuple[int, int, int]]] = {}
     for f in found:
-        by_source.setdefault((f["source"], f["source_hash"]), []).append((f["pos"], f["source_pos"], f["words"]))
+        by_source.setdefault((f["source"], f["source_hash"]), set()).update(_spread(f))
     gone: set[int] = set()
-    for pairs in by_source.values():
-        pairs.sort()
+    for shared in by_source.values():
+        pairs = sorted(shared, key=lambda x: (x[0], -x[1]))  # of one place at most one pair
         tails, at, back = [], [], [-1] * len(pairs)  # patience piles over the places in the source
         for i, (_, j, _) in enumerate(pairs):
             p = bisect_left(tails, j)
@@ -109,37 +149,44 @@ def aligned(found: list[dict]) -> set[int]:
     return gone
 
 
+def sources_of(found: list[dict], gone: set[int]) -> list[int]:
+    return sorted({f["source"] for f in found if any(p in gone for p, _, _ in _spread(f))})
+
+
 def identity(key: str = "doc_id", text: str = "text") -> tuple[Column, Column]:
     return (F.coalesce(F.col(f"`{key}`").cast("long"), F.lit(MAX_LONG)), F.xxhash64(F.col(f"`{text}`")))
 
 
 def shared_lines(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """(id, hash, found): for each document its lines that an earlier one holds too."""
+    """(id, hash, found): for each document its keys that earlier ones hold too."""
     def keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids, hashes = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-            cols = [[] for _ in range(6)]
+            cols = [[] for _ in KINDS]
             for i, h, t in zip(ids, hashes, batch.column(2)):
-                for k, pos, words in line_keys(t.as_py()):
-                    for c, v in zip(cols, (i, h, int.from_bytes(k[:8], "little", signed=True),
-                                           int.from_bytes(k[8:], "little", signed=True), pos, words)):
+                for k, place, sizes, back in windows(t.as_py()):
+                    for c, v in zip(cols, (i, h, int.from_bytes(k[:8], "little", signed=True), int.from_bytes(k[8:], "little", signed=True),
+                                           place, bytes(min(n, 255) for n in sizes), back)):
                         c.append(v)
-            kinds = (pa.int64(),) * 4 + (pa.int32(),) * 2
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, kinds)],
-                                             names=[x.split()[0] for x in KEYS.split(", ")])
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, KINDS)], names=[x.split()[0] for x in KEYS.split(", ")])
 
     own, hashed = identity(key, text)
     texts = docs.where(F.col(f"`{text}`").isNotNull()).select(own.alias("id"), hashed.alias("hash"), F.col(f"`{text}`").alias("text"))
     lines = texts.mapInArrow(keyed, KEYS).checkpoint()
     who = F.struct("id", "hash")
-    first = (lines.groupBy("k1", "k2").agg(F.min(F.struct("id", "hash", "pos")).alias("first"), F.max(who).alias("last"))
-             .where((F.col("first.id") != F.col("last.id")) | (F.col("first.hash") != F.col("last.hash"))).drop("last"))
-    later = lines.join(first, ["k1", "k2"]).where((F.col("id") != F.col("first.id")) | (F.col("hash") != F.col("first.hash")))
-    # one row per line (rows of a document may repeat), then the lines of each document
-    once = later.groupBy("id", "hash", "pos").agg(F.max("words").alias("words"), F.min("first").alias("first"))
-    one = F.struct("pos", "words", F.col("first.id").alias("source"), F.col("first.hash").alias("source_hash"),
-                   F.col("first.pos").alias("source_pos"))
-    return once.groupBy("id", "hash").agg(F.collect_list(one).alias("found"))
+    held = F.min(F.struct("id", "hash", "place")).alias("first")
+    first = lines.groupBy("k1", "k2").agg(held, F.max(who).alias("last")).where(
+        (F.col("first.id") != F.col("last.id")) | (F.col("first.hash") != F.col("last.hash"))).drop("last")
+    later = F.struct("id", "hash") > F.struct("first.id", "first.hash")
+    # rows of a document may repeat
+    met = lines.join(first, ["k1", "k2"]).where(later).distinct()
+    return _collected(met)
+
+
+def _collected(found: DataFrame) -> DataFrame:
+    one = F.struct("k1", "k2", F.col("place").alias("pos"), "sizes", "back", F.col("first.id").alias("source"),
+                   F.col("first.hash").alias("source_hash"), F.col("first.place").alias("source_pos"))
+    return found.groupBy("id", "hash").agg(F.collect_list(one).alias("found"))
 
 
 def with_deletions(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -151,12 +198,14 @@ def with_deletions(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
             rows = []
             for t, found in zip(texts, shared):
                 found = [] if found is None or not isinstance(t, str) else list(found)
-                gone = aligned(found)
-                if not gone:
+                went = aligned(found)
+                if not went:
                     rows.append((t, [], []))
                     continue
+                at = sizes_of(t)[1]
+                gone = {at[p] for p in went}
                 kept = "\n".join(x for i, x in enumerate(t.split("\n")) if i not in gone)
-                rows.append((kept if kept.strip() else "", sorted(gone), sorted({f["source"] for f in found if f["pos"] in gone})))
+                rows.append((kept if kept.strip() else "", sorted(gone), sources_of(found, went)))
             yield pd.DataFrame(rows, columns=["kept", "deleted", "sources"])
 
     own, hashed = identity(key, text)

@@ -227,6 +227,34 @@ def test_line_dedup_equals_a_serial_pass(spark, rows):
     assert {x.strip() for _, t in data for x in t.split("\n")} <= new  # nothing is lost from the corpus
 
 
+def pairwise_line_dedup(docs):
+    """Each document against every earlier one, with all the keys both hold."""
+    held, out = {k: {w[0]: w[1:] for w in lines.windows(t)} for k, t in docs}, {}
+    for k, t in docs:
+        found = []
+        for e in (e for e in held if e < k):
+            found += [{"pos": held[k][w][0], "sizes": held[k][w][1], "back": held[k][w][2], "source": e, "source_hash": 0,
+                       "source_pos": held[e][w][0]} for w in held[k] if w in held[e]]
+        gone = {lines.sizes_of(t)[1][p] for p in lines.aligned(found)}
+        out[k] = sorted(gone)
+    return out
+
+
+def test_short_lines_equal_all_pairs(spark, rows):
+    long = [r[1].split("\n")[0] for r in rows]
+    verse = "\n".join(f"verse {i} goes\n\non like this" if i % 2 else f"line {i} of it" for i in range(14))
+    other = "\n".join(f"quite {i} other words" for i in range(9))
+    changed = verse.replace("line 6 of", "line six of")
+    han = "\n".join(["春眠不觉晓", "处处闻啼鸟", "夜来风雨声", "花落知多少"])
+    data = [(1, f"{long[1]}\n{verse}\n{long[2]}"), (2, f"{long[3]}\n{verse}\nthe end"), (3, f"{other}\n{verse}"), (4, f"a start\n{changed}"),
+            (5, f"{long[4]}\n{han}"), (6, f"山\n{han}\n水")]
+    got = {r.doc_id: r for r in lines.with_deletions(spark.createDataFrame(data, "doc_id long, text string")).collect()}
+    assert {k: list(r["__deleted"]) for k, r in got.items()} == pairwise_line_dedup(data)
+    assert got[2]["__kept"].split() == f"{long[3]} the end".split() and got[3]["__kept"].split() == other.split()
+    assert "six" in got[4]["__kept"] and "verse 13" not in got[4]["__kept"] and "verse 1 " not in got[4]["__kept"]
+    assert got[6]["__kept"] == "山\n水"
+
+
 def test_alignment_keeps_what_is_out_of_order():
     at = lambda pos, there: {"pos": pos, "words": 9, "source": 1, "source_hash": 1, "source_pos": there}
     assert lines.aligned([at(0, 5), at(1, 6), at(2, 0), at(3, 7)]) == {0, 1, 3}
