@@ -14,7 +14,9 @@ aggregate, so a line that a third of all documents share costs one row per
 task.  A document and each earlier one that it meets are aligned by patience:
 the longest increasing sequence of the places of the lines both hold is the
 alignment.  Aligned lines form blocks (neighbours in both documents); blocks of at
-least ``BLOCK_WORDS`` words go from the later document.  The earliest holder of a line keeps it, so
+least ``BLOCK_WORDS`` words go from the later document.  Keys of which a line stays
+(it crosses others, say) meet the next earlier holder, and so on until no line
+that stays has an earlier holder left.  The earliest holder of a line keeps it, so
 no text is lost from the corpus.
 
 "Earlier" is the order of (doc_id, hash of the text), null doc_id last.  A
@@ -179,8 +181,19 @@ def shared_lines(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Da
         (F.col("first.id") != F.col("last.id")) | (F.col("first.hash") != F.col("last.hash"))).drop("last")
     later = F.struct("id", "hash") > F.struct("first.id", "first.hash")
     # rows of a document may repeat
-    met = lines.join(first, ["k1", "k2"]).where(later).distinct()
-    return _collected(met)
+    met = lines.join(first, ["k1", "k2"]).where(later).distinct().checkpoint()
+    found = met
+    while True:
+        # keys of which a line stays meet their next holder
+        stay = _staying(_collected(found)).checkpoint()
+        at = found.join(stay, ["id", "hash", "k1", "k2", "place"], "left_semi").groupBy(*[c for c in found.columns if c != "first"]).agg(
+            F.max(F.struct("first.id", "first.hash")).alias("seen"))
+        after = (lines.join(at.select("k1", "k2", "seen").distinct(), ["k1", "k2"]).where(who > F.col("seen"))
+                 .groupBy("k1", "k2", "seen").agg(held))
+        met = at.join(after, ["k1", "k2", "seen"]).where(later).select(*found.columns).checkpoint()
+        if not met.limit(1).count():
+            return _collected(found)
+        found = found.unionByName(met)
 
 
 def _collected(found: DataFrame) -> DataFrame:
@@ -189,6 +202,20 @@ def _collected(found: DataFrame) -> DataFrame:
     return found.groupBy("id", "hash").agg(F.collect_list(one).alias("found"))
 
 
+def _staying(collected: DataFrame) -> DataFrame:
+    """(id, hash, k1, k2, place) of the found keys of which a line stays."""
+    def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = set()
+            for i, h, found in zip(*(c.to_pylist() for c in batch.columns)):
+                gone = aligned(found)
+                rows.update((i, h, f["k1"], f["k2"], f["pos"]) for f in found if any(p not in gone for p, _, _ in _spread(f)))
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(list(zip(*rows)) or [[]] * 5, KINDS)],
+                                             names=["id", "hash", "k1", "k2", "place"])
+
+    return collected.mapInArrow(check, "id long, hash long, k1 long, k2 long, place int")
+
+
 def with_deletions(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """``docs`` plus __kept (the text that stays), __deleted (places of the lines
     that go) and __sources (ids of the earlier documents they align with)."""

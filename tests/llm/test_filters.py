@@ -255,6 +255,15 @@ def test_short_lines_equal_all_pairs(spark, rows):
     assert got[6]["__kept"] == "山\n水"
 
 
+def test_crossing_lines_and_copies_equal_all_pairs(spark, rows):
+    long = [r[1].split("\n")[0] for r in rows]
+    data = [(10, f"{long[11]}\n{long[10]}"), *[(11 + i, f"{long[10]}\n{long[11]}") for i in range(5)],
+            (20, long[20]), (21, f"{long[20]}\nshort s"), (22, f"{long[20]}\nshort s"), (30, f"{long[30]}\ncommon\n{long[31]}"), (31, f"common\n{long[32]}")]
+    got = {r.doc_id: r for r in lines.with_deletions(spark.createDataFrame(data, "doc_id long, text string")).collect()}
+    assert {k: list(r["__deleted"]) for k, r in got.items()} == pairwise_line_dedup(data)
+    assert [got[k]["__kept"] == "" for k in (12, 13, 14, 15, 22)] == [True] * 5 and got[31]["__kept"].startswith("common")
+
+
 def test_alignment_keeps_what_is_out_of_order():
     at = lambda pos, there: {"pos": pos, "words": 9, "source": 1, "source_hash": 1, "source_pos": there}
     assert lines.aligned([at(0, 5), at(1, 6), at(2, 0), at(3, 7)]) == {0, 1, 3}
