@@ -38,7 +38,11 @@ CALIBRATION = 0.3
 REJECT_AT = 8.0
 #: least variance of a language's long texts (nats squared): below it, mixed but real text would be rejected
 SPREAD_FLOOR = 0.0225
+#: texts that a language needs to be calibrated; with fewer, all its texts are fitted
+LEAST_CALIBRATION = 8
 SLICE = 200_000
+#: the sample takes parts of so many characters, so that long documents are neither all in nor all out
+PART = 20_000
 UNKNOWN = "und"
 #: size of the code space, for the uniform end of the interpolation
 CODE_SPACE = 0x110000
@@ -232,26 +236,32 @@ def entropies(model: Model, tool: Grams, texts: list[str]) -> tuple[np.ndarray,
 
 def fit(labelled: DataFrame, text: str = "text", lang: str = "lang", key: str = "doc_id",
         chars: int = CHARS_PER_LANGUAGE) -> Model | None:
-    """Models from a sample of about ``chars`` characters for each language;
-    rows with a null or empty text or a null language are not used."""
+    """Models from a sample of about ``chars`` characters for each language (all its
+    texts where it has fewer); every labelled language gets a model; rows with a null or empty text or a null language are not used."""
     rows = labelled.select(F.col(text).alias("text"), F.col(lang).cast("string").alias("lang"), F.col(key).alias("key"))
     rows = rows.where(F.col("text").isNotNull() & F.col("lang").isNotNull() & (F.length("text") > 0))
-    totals = {r["lang"]: r["c"] for r in rows.groupBy("lang").agg(F.sum(F.length("text")).alias("c")).collect()}
-    languages = sorted(totals)
-    if not languages:
+    count = F.ceil(F.length("text") / F.lit(PART)).cast("int")
+    rows = rows.withColumn("part", F.explode(F.sequence(F.lit(0), count - 1))).select(
+        "lang", "key", "part", F.expr(f"substring(text, part * {PART} + 1, {PART})").alias("text"))
+    rows = rows.withColumn("u", hash_share("key", "part", "text", seed="langid"))
+    totals = {r["lang"]: r for r in rows.groupBy("lang").agg(F.sum(F.length("text")).alias("c"), F.min("u").alias("least")).collect()}
+    if not totals:
         return None
     share = F.lit(0.0)
-    for l in languages:
-        share = F.when(F.col("lang") == l, sample_share(totals[l], int(chars / (1 - CALIBRATION)))).otherwise(share)
-    sample = rows.withColumn("u", hash_share("key", seed="langid")).where(F.col("u") < share)
-    sample = sample.withColumn("cal", hash_share("key", seed="langcal") < CALIBRATION).drop("u")
-    sample = sample.repartition(max(1, len(languages)), hash_share("key", seed="spread")).checkpoint()
+    for l, r in sorted(totals.items()):  # of each language one part at least
+        share = F.when(F.col("lang") == l, max(sample_share(r["c"], int(chars / (1 - CALIBRATION))), r["least"])).otherwise(share)
+    sample = rows.where(F.col("u") <= share).withColumn("v", hash_share("key", "part", "text", seed="langcal")).drop("u", "part")
+    sample = sample.repartition(max(1, len(totals)), hash_share("key", "text", seed="spread")).checkpoint()
+    # a text is for calibration only where its language has enough of them, and another text to fit
+    known = sample.groupBy("lang").agg(F.sum((F.col("v") < CALIBRATION).cast("int")).alias("n"), F.max("v").alias("most")).collect()
+    cal = F.lit(False)
+    for r in known:
+        if r["n"] >= LEAST_CALIBRATION:
+            cal = cal | ((F.col("lang") == r["lang"]) & (F.col("v") < min(CALIBRATION, r["most"])))
+    sample = sample.withColumn("cal", cal)
     schema = "lang string, " + ", ".join(f"s{k} int" for k in range(ORDER)) + ", n long"
     grams = (sample.where(~F.col("cal")).select("lang", "text").mapInPandas(_counted, schema)
              .groupBy("lang", *[f"s{k}" for k in range(ORDER)]).agg(F.sum("n").alias("n")).toPandas())
-    if not len(grams):  # tiny tables: nothing but calibration rows
-        grams = (sample.select("lang", "text").mapInPandas(_counted, schema)
-                 .groupBy("lang", *[f"s{k}" for k in range(ORDER)]).agg(F.sum("n").alias("n")).toPandas())
     if not len(grams):
         return None
     languages = sorted(grams["lang"].unique())
@@ -284,7 +294,7 @@ def _calibrated(model: Model, sample: DataFrame) -> Model:
     own = cal["lang"].map({l: i for i, l in enumerate(model.languages)}).to_numpy()
     for l in range(len(model.languages)):
         at = own == l
-        if at.sum() >= 8:
+        if at.sum() >= LEAST_CALIBRATION:
             h = total[at, l] / n[at]
             model.mean[l] = np.median(h)
             dev = (h - model.mean[l]) ** 2

@@ -15,7 +15,8 @@ become whole numbers of copies by a hash of doc_id: floor(rate + u).
 
 Results for odd input: a text that is null or has no word has no tokens, no
 domain, rate 1 and one copy; labelled rows with a null text or domain are not
-used; with no labelled row all rates are 1; a domain without tokens keeps
+used; with no labelled row all rates are 1, but a target for a domain without
+labelled rows is an error; a domain without tokens keeps
 total 0, whatever its target; equal texts share their posterior and rate;
 repeated rows get equal copies; an empty table gives an empty result; very long
 texts are read whole; input columns named like an output are replaced.
@@ -30,8 +31,9 @@ from pyspark.sql import functions as F
 
 from riskframe.llm.common import hash_share, prepare, replace_columns, sample_share, table
 
-#: bound of the fit: about so many labelled rows
+#: bound of the fit: about so many labelled rows, and so many of each domain besides
 MAX_LABELLED = 20_000
+LEAST_LABELLED = 500
 BUCKETS = 1 << 14
 SMOOTHING = 0.5
 #: how sharply the mean log likelihood of a word tells domains apart
@@ -62,9 +64,14 @@ def fit(labelled: DataFrame, text: str = "text", domain: str = "domain", max_row
     """(domains, weights): weights has a row for each word bucket (at most
     ``BUCKETS`` + 1 rows) with the log likelihood in each domain, w0, w1, ..."""
     rows = labelled.select(F.col(f"`{text}`").alias("text"), F.col(f"`{domain}`").cast("string").alias("domain")).where(
-        F.col("text").isNotNull() & F.col("domain").isNotNull())
-    share = sample_share(rows.count(), max_rows)
-    words = (rows.where(hash_share("text", seed="mix") < share).select("domain", _words(F.col("text")).alias("word"))
+        F.col("text").isNotNull() & F.col("domain").isNotNull() & F.regexp_like("text", F.lit(r"\S")))
+    rows = rows.withColumn("u", hash_share("text", seed="mix"))
+    known = rows.groupBy("domain").agg(F.count("*").alias("n"), F.min("u").alias("least")).collect()
+    even, share = sample_share(sum(r["n"] for r in known), max_rows), F.lit(0.0)
+    for r in known:  # a rare domain keeps its rows, and every domain one at least
+        own = max(even, sample_share(r["n"], LEAST_LABELLED), r["least"])
+        share = F.when(F.col("domain") == r["domain"], own).otherwise(share)
+    words = (rows.where(F.col("u") <= share).select("domain", _words(F.col("text")).alias("word"))
              .where("word <> ''").groupBy("domain", _bucket(F.col("word")).alias("bucket")).agg(F.count("*").alias("n")).checkpoint())
     totals = {r["domain"]: r["n"] for r in words.groupBy("domain").agg(F.sum("n").alias("n")).collect()}
     domains = sorted(totals)
@@ -143,6 +150,9 @@ def mix(docs: DataFrame, labelled: DataFrame, weights: dict[str, float] | None =
     falls below ``least``.
     """
     domains, model = fit(labelled)
+    lost = sorted(d for d, w in (weights or {}).items() if w > 0 and d not in domains)
+    if lost:
+        raise ValueError(f"no labelled row for the target domains {lost}")
     none = F.struct(F.lit(None).cast("string").alias("domain"), F.lit(0.0).alias("posterior"), F.lit(0).cast("long").alias("tokens"),
                     F.lit(1.0).alias("rate"), F.lit(1).cast("long").alias("copies"))
     names = ("domain", "posterior", "tokens", "rate", "copies")

@@ -69,6 +69,16 @@ def test_nothing_to_learn_from(none, docs):
     assert language.identify(none, None).count() == 0
 
 
+def test_rare_languages_get_models(spark, rows):
+    """Languages of one or two documents, and one of long documents under a small bound."""
+    data = [(i, r[1], r[2]) for i, r in enumerate(rows)]
+    data += [(1000 + i, f"{chr(0x430 + i)}{chr(0x431 + i)} " * 30, f"one{i}") for i in range(12)]
+    data += [(2000 + i, f"{chr(0x3b1 + i // 2)}{chr(0x3b2 + i // 2)} " * 30, f"two{i // 2}") for i in range(12)]
+    data += [(3000 + i, "ชซ " * 60_000, "long") for i in range(3)]
+    model = language.fit(spark.createDataFrame(data, "doc_id long, text string, lang string"), chars=20_000)
+    assert set(model.languages) == {r[2] for r in data}
+
+
 @pytest.fixture(scope="module")
 def graded(spark, rows):
     bad = [(1000 + i, " ".join(w.upper() + "!!" for w in r[1].split()), r[2], r[3], r[4]) for i, r in enumerate(rows)]
@@ -150,3 +160,12 @@ def test_flattened_targets_never_thin():
     own = [700.0, 100.0, 0.0, 50.0]
     got = mixing.flattened_targets(own)
     assert all(t >= a for t, a in zip(got, own)) and got[2] == 0
+
+
+def test_rare_domains_are_fitted(spark):
+    data = [(f"plain words number {i}", "much") for i in range(3000)] + [(f"rare text {i}", "rare") for i in range(2)] + [(" ", "blank")]
+    labelled = spark.createDataFrame(data, "text string, domain string")
+    assert mixing.fit(labelled, max_rows=20)[0] == ["much", "rare"]
+    docs = spark.createDataFrame([(1, "rare text")], "doc_id long, text string")
+    with pytest.raises(ValueError, match="blank"):
+        mixing.mix(docs, labelled, {"rare": 1.0, "blank": 1.0})
