@@ -77,6 +77,17 @@ def test_scores_equal_power_iteration(spark, monkeypatch):
             assert abs(got[h][0] - t[at[h]]) < 1e-9 and abs(got[h][1] - d[at[h]]) < 1e-9, h
 
 
+def test_a_verdict_that_needs_many_rounds(spark, monkeypatch):
+    """Two hosts in a cycle: the scores grow for long, the last hundredth decides."""
+    pages = spark.createDataFrame([(1, "http://evil.net/fr/", '<a href="http://a.org/">'), (2, "http://a.org/", '<a href="http://evil.net/">')], PAGES)
+    end = 0.85 * 0.15 / (1 - 0.85 ** 2)
+    monkeypatch.setattr(urls, "BLOCK_AT", 0.99 * end / 0.15)
+    got = {r.page_id: r for r in urls.judge(pages, urls.RULES).collect()}
+    assert got[2].verdict == "block" and abs(got[2].distrust - end) < 1e-3
+    monkeypatch.setattr(urls, "BLOCK_AT", (1 - 1e-6) * end / 0.15)  # far under TOLERANCE
+    assert urls.judge(pages, urls.RULES).where("page_id = 2").first().verdict == "block"
+
+
 def copies_of(rows, seed=8):
     """The rows and near copies of some, by few word edits."""
     rng = random.Random(seed)
