@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import shutil
 import tempfile
+import uuid
 from pathlib import Path
 
 import numpy as np
@@ -43,6 +44,18 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def written(df: DataFrame) -> DataFrame:
+    """``df`` written as a table in the shared checkpoint folder and read again.
+
+    Cuts the lineage as checkpoint() does, but the plan goes on with the size of the
+    files; a checkpoint keeps the estimated size, which joins multiply, and after some
+    twenty rounds of an iteration planning takes longer than the work.
+    """
+    path = f"{ensure_checkpoint_dir(df.sparkSession).rstrip('/')}/cut-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def remainder(col: str, mod: int) -> Column:
     """crc32 of the column as text, modulo ``mod`` (null for null)."""
     return F.crc32(F.col(col).cast("string").cast("binary")) % mod
