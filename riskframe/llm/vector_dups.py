@@ -99,9 +99,9 @@ def _rotated(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield batch.append_column("u", pa.array(list(u), pa.list_(pa.float32())))
 
 
-def cut_bits(rows: int, dims: int) -> np.ndarray:
+def cut_bits(rows: int, dims: int, cell_rows: int = CELL_ROWS) -> np.ndarray:
     """Bits of each component of a block: 2 ** their sum cells hold ``rows`` vectors."""
-    need = int(np.ceil(np.log2(max(1.0, rows / CELL_ROWS))))
+    need = int(np.ceil(np.log2(max(1.0, rows / cell_rows))))
     return need // dims + (np.arange(dims) < need % dims)
 
 
@@ -124,7 +124,7 @@ def reached_cells(u: np.ndarray, radius: float, mean: np.ndarray, spread: np.nda
     return row, cell, home
 
 
-def _filed(similarity: float):
+def _filed(similarity: float, cell_rows: int):
     def filed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Each vector in its home cell and the cells it reaches, for every block."""
         for batch in _by_length(batches):
@@ -136,7 +136,8 @@ def _filed(similarity: float):
                 group = batch.take(pa.array(own))
                 mean, spread = (_matrix(group.column(c).slice(0, 1), np.float64)[0] for c in ("mean", "spread"))
                 for b, (i, j) in enumerate(zip(start, start[1:])):
-                    row, cell, home = reached_cells(u[own, i:j], np.sqrt(budget[b]) * (1 + SLACK), mean[i:j], spread[i:j], cut_bits(n[own[0]], j - i))
+                    bits = cut_bits(n[own[0]], j - i, cell_rows)
+                    row, cell, home = reached_cells(u[own, i:j], np.sqrt(budget[b]) * (1 + SLACK), mean[i:j], spread[i:j], bits)
                     for at in range(0, len(row), 10_000):
                         part = slice(at, at + 10_000)
                         got = group.take(pa.array(row[part])).select(["label", "dims", "node", "weight", "v", "u"])
@@ -213,7 +214,7 @@ def _cell(similarity: float):
     return cell
 
 
-def linked_vectors(vectors: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
+def linked_vectors(vectors: DataFrame, similarity: float = SIMILARITY, cell_rows: int = CELL_ROWS, tile_rows: int = TILE_ROWS) -> DataFrame:
     """(node, links, root) rows of ``vectors`` (label, dims, node, weight, v): sums of
     links by node are the weights of the other nodes linked with it, and the pairs
     (node, root) connect what links connect."""
@@ -225,10 +226,10 @@ def linked_vectors(vectors: DataFrame, similarity: float = SIMILARITY) -> DataFr
     groups = moments.groupBy(F.col("label").alias("gl"), F.col("dims").alias("gd")).agg(
         F.max("n").alias("n"), *[F.array_sort(F.collect_list(F.struct("j", c))).getField(c).alias(name) for c, name in (("m", "mean"), ("s", "spread"))])
     grouped = turned.join(groups, (F.col("label") == F.col("gl")) & (F.col("dims") == F.col("gd"))).drop("gl", "gd")
-    filed = grouped.mapInArrow(_filed(similarity), FILED.format(kind=kind))
+    filed = grouped.mapInArrow(_filed(similarity, cell_rows), FILED.format(kind=kind))
     place = ["label", "dims", "block", "cell"]
-    large = filed.groupBy(*place).agg(F.count(F.lit(1)).alias("size")).where(F.col("size") > TILE_ROWS).select(
-        *[F.col(c).alias(f"l_{c}") for c in place], F.ceil(F.col("size") / TILE_ROWS).cast("int").alias("m"))
+    large = filed.groupBy(*place).agg(F.count(F.lit(1)).alias("size")).where(F.col("size") > tile_rows).select(
+        *[F.col(c).alias(f"l_{c}") for c in place], F.ceil(F.col("size") / tile_rows).cast("int").alias("m"))
     on = [F.col(c) == F.col(f"l_{c}") for c in place]
     # a vector of a large cell: its chunk of home vectors meets every chunk of others, and the other way round
     m, own, flags = F.coalesce("m", F.lit(1)), F.pmod(F.xxhash64("node"), F.coalesce("m", F.lit(1))).cast("int"), ("p", "q", "as_home", "as_other")
@@ -240,7 +241,8 @@ def linked_vectors(vectors: DataFrame, similarity: float = SIMILARITY) -> DataFr
     return dealt.groupBy(*place, "p", "q").applyInArrow(_cell(similarity), "node long, links long, root long")
 
 
-def near_duplicates(rows: DataFrame, key: str = "vec_id", vector: str = "embedding", label: str = "label", similarity: float = SIMILARITY) -> DataFrame:
+def near_duplicates(rows: DataFrame, key: str = "vec_id", vector: str = "embedding", label: str = "label", similarity: float = SIMILARITY,
+                    cell_rows: int = CELL_ROWS, tile_rows: int = TILE_ROWS) -> DataFrame:
     """(vec_id, n_links, component_id, kept), a row for each of ``rows``: linked are
     vectors of equal label with a cosine of ``similarity`` at least."""
     named = rows.select(F.col(f"`{key}`").cast("long").alias("vec_id"), F.col(f"`{vector}`").alias("v"), F.col(f"`{label}`").cast("long").alias("label"))
@@ -250,7 +252,7 @@ def near_duplicates(rows: DataFrame, key: str = "vec_id", vector: str = "embeddi
     distinct = some.groupBy("label", "v").agg(F.count(F.lit(1)).alias("weight"), F.min("vec_id").alias("first"))
     distinct = distinct.withColumn("node", F.monotonically_increasing_id())  # fixed by writing
     vectors = written(distinct.select("label", F.size("v").alias("dims"), "node", "weight", "v", "first"))
-    links = written(linked_vectors(vectors.drop("first"), similarity))
+    links = written(linked_vectors(vectors.drop("first"), similarity, cell_rows, tile_rows))
     # a node's component: its own number where nothing is linked
     met = written(components(links.where("node <> root").select(F.col("node").alias("a"), F.col("root").alias("b")).distinct()))
     counts = links.groupBy(F.col("node").alias("ln")).agg(F.sum("links").alias("links"))
