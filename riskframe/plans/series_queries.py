@@ -136,13 +136,14 @@ SELECT strftime(s, '%Y-%m-%d %H:%M:%S') AS window_start, requests, errors, round
        e AS high_error_rate, l AS high_latency, p AS prediction_failures,
        min(CAST(e AS INTEGER)) OVER x = 1 AND count(*) OVER x = 3 AS high_error_rate_firing,
        min(CAST(l AS INTEGER)) OVER x = 1 AND count(*) OVER x = 3 AS high_latency_firing,
-       min(CAST(p AS INTEGER)) OVER x = 1 AND count(*) OVER x = 3 AS prediction_failures_firing
-FROM f WINDOW x AS (ORDER BY s RANGE BETWEEN INTERVAL 2 MINUTE PRECEDING AND CURRENT ROW)"""
+       min(CAST(p AS INTEGER)) OVER y = 1 AND count(*) OVER y = 2 AS prediction_failures_firing
+FROM f WINDOW x AS (ORDER BY s RANGE BETWEEN INTERVAL 2 MINUTE PRECEDING AND CURRENT ROW),
+              y AS (ORDER BY s RANGE BETWEEN INTERVAL 1 MINUTE PRECEDING AND CURRENT ROW)"""
 
 
 @register("alert_windows_log", ALERT_SQL)
 def alert_windows_log(spark, sf_dir):
-    """M2–M4: 5-minute windows sliding by 1 minute, held for 2 minutes."""
+    """M2–M4: 5-minute windows sliding by 1 minute, held for 2, 2 and 1 minutes."""
     return M.alert_windows(M.sliding_counts(I.prediction_log(spark, sf_dir)))
 
 

@@ -1,10 +1,10 @@
-"""Windowed prediction-log monitors (M1–M7), batch and Structured Streaming.
+"""Windowed prediction-log monitors (M1–M6), batch and Structured Streaming.
 
-Every monitor is one DataFrame transformation that works unchanged on a
-static table and on a ``readStream`` source: tumbling or sliding
-``window()`` aggregates keyed by time, with a watermark on the stream so
-state for closed windows is dropped.  Rows later than the watermark are
-dropped from their windows (documented Structured Streaming semantics).
+Metrics are one transformation for a table and for a ``readStream`` source:
+tumbling or sliding ``window()`` aggregates keyed by time, with a watermark on
+the stream so state for closed windows is dropped.  The exact p95 and the
+wide table of alerts are for tables; alert rules on a stream, with their hold
+timers, are in ``alerts``.
 """
 
 from __future__ import annotations
@@ -18,6 +18,7 @@ from ..functions import applications as A
 from ..operators.core import col
 from ..operators.scoring import validate_applications
 from ..session import ensure_checkpoint_dir
+from .alerts import gauge_windows
 
 # ---------------------------------------------------------------------------
 # Fixed values that must equal the reference's for identical results.
@@ -58,43 +59,41 @@ def sliding_counts(log: DataFrame, ts: str = "ts", length: str = "5 minutes", sl
                                          F.count_if("is_error").alias("errors"), p95.alias("p95_ms"))
 
 
-def alert_windows(counts: DataFrame, hold_windows: int = 3, window_seconds: int = 300, slide_seconds: int = 60,
+#: consecutive true evaluations, at a slide of one minute, before each alert fires
+HOLD_WINDOWS = {"high_error_rate": 3, "high_latency": 3, "prediction_failures": 2}
+
+
+def alert_windows(counts: DataFrame, hold_windows: dict[str, int] = HOLD_WINDOWS, window_seconds: int = 300, slide_seconds: int = 60,
                   error_rate: float = ERROR_RATE_PER_SEC, p95_ms: float = LATENCY_P95_MS,
                   failures: int = FAILURES_IN_5MIN) -> DataFrame:
     """M2–M4 on sliding-window counts: each condition per window and whether
-    it held for ``hold_windows`` consecutive window starts (2 min at a 1 min
-    slide): each true window counts towards its own start and the next ones,
-    and a start fires when all of them arrived, so a gap in the windows ends
-    the hold and no task sees all windows."""
+    it held for its number of consecutive window starts (2 min for errors and
+    latency, 1 min for failures at a 1 min slide): each true window counts
+    towards its own start and the next ones, and a start fires when all of
+    them arrived, so a gap in the windows ends the hold and no task sees all
+    windows."""
     base = counts.select(F.col("w.start").alias("_s"), "requests", "errors", "p95_ms").withColumns({
         "high_error_rate": (F.col("errors") / window_seconds) > error_rate,
         "high_latency": F.col("p95_ms") > p95_ms,
         "prediction_failures": F.col("errors") > failures})
-    conditions = ("high_error_rate", "high_latency", "prediction_failures")
-    ahead = F.explode(F.sequence(F.lit(0), F.lit(hold_windows - 1))).alias("_k")
-    votes = base.select("_s", *conditions, ahead).select(
-        F.timestamp_seconds(F.unix_timestamp(F.col("_s").cast("timestamp")) + F.col("_k") * slide_seconds).alias("_t"), *conditions)
-    votes = votes.groupBy("_t").agg(*[F.count_if(F.col(c)).alias(f"_{c}") for c in conditions])
-    held = {f"{c}_firing": F.coalesce(F.col(f"_{c}") == hold_windows, F.lit(False)) for c in conditions}
+    ahead = F.explode(F.sequence(F.lit(0), F.lit(max(hold_windows.values()) - 1))).alias("_k")
+    votes = base.select("_s", *hold_windows, ahead).select(
+        F.timestamp_seconds(F.unix_timestamp(F.col("_s").cast("timestamp")) + F.col("_k") * slide_seconds).alias("_t"),
+        *[(F.col(c) & (F.col("_k") < n)).alias(c) for c, n in hold_windows.items()])
+    votes = votes.groupBy("_t").agg(*[F.count_if(F.col(c)).alias(f"_{c}") for c in hold_windows])
+    held = {f"{c}_firing": F.coalesce(F.col(f"_{c}") == n, F.lit(False)) for c, n in hold_windows.items()}
     return base.join(votes, F.col("_s").cast("timestamp") == F.col("_t"), "left").withColumns(held).select(
         F.date_format("_s", "yyyy-MM-dd HH:mm:ss").alias("window_start"), "requests", "errors",
-        F.round("p95_ms", 6).alias("p95_ms"), "high_error_rate", "high_latency", "prediction_failures",
-        *held.keys())
+        F.round("p95_ms", 6).alias("p95_ms"), *hold_windows, *held.keys())
 
 
 def gauge_over_threshold(gauges: DataFrame, name: str, threshold: float, ts: str = "ts",
-                         length: str = "5 minutes", slide: str = "1 minute", step_seconds: int = 60,
-                         window_seconds: int = 300) -> DataFrame:
+                         length: str = "5 minutes", slide: str = "1 minute", step_seconds: int = 60) -> DataFrame:
     """M5: a gauge is over its threshold for a window when its minimum there
     exceeds the threshold and the window is fully covered by samples
     (one sample per ``step_seconds`` at least)."""
-    g = gauges.where(F.col("name") == name)
-    w = F.window(col(ts), length, slide)
-    need = window_seconds // step_seconds
-    return g.groupBy(w.alias("w")).agg(F.min("value").alias("min_value"),
-                                       F.count_distinct(F.date_trunc("minute", col(ts))).alias("_steps")) \
-        .select(F.date_format("w.start", "yyyy-MM-dd HH:mm:ss").alias("window_start"), "min_value",
-                ((F.col("min_value") > threshold) & (F.col("_steps") >= need)).alias("firing"))
+    w = gauge_windows(gauges.where(F.col("name") == name), threshold, ts, (), length, slide, f"{step_seconds} seconds")
+    return w.select(F.date_format("w.start", "yyyy-MM-dd HH:mm:ss").alias("window_start"), "min_value", "firing")
 
 
 # ---------------------------------------------------------------------------
@@ -134,6 +133,16 @@ def run_to_table(agg: DataFrame, spark: SparkSession, mode: str = "complete") ->
     return spark.table(name)
 
 
+def run_to_files(rows: DataFrame, spark: SparkSession) -> DataFrame:
+    """Run an appending stream over all there is (availableNow) into a table under
+    the session's shared checkpoint folder and return it: rows stay off the driver."""
+    base = f"{ensure_checkpoint_dir(spark).rstrip('/')}/rf_stream_{uuid.uuid4().hex[:12]}"
+    q = (rows.writeStream.outputMode("append").format("parquet").option("path", f"{base}/rows")
+         .option("checkpointLocation", f"{base}/state").trigger(availableNow=True).start())
+    q.awaitTermination()
+    return spark.read.schema(rows.schema).parquet(f"{base}/rows")
+
+
 def prediction_metrics_stream(spark: SparkSession, sf_dir: str, window: str = "1 hour",
                               watermark: str = "10 minutes") -> DataFrame:
     """M1 on the event stream: watermark + tumbling windows, complete output."""
