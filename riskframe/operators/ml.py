@@ -89,7 +89,7 @@ def score(model: PipelineModel, df: DataFrame, name: str, label: str = "label",
     """Long scored table: (model, label, score = P(class 1), prediction, keep…)."""
     out = model.transform(df)
     return out.select(F.lit(name).alias("model"), F.col(label).alias("label"),
-                      vector_to_array("probability")[1].alias("score"),
+                      F.coalesce(F.get(vector_to_array("probability"), F.lit(1)), F.lit(0.0)).alias("score"),
                       F.col("prediction").cast("int").alias("prediction"), *keep)
 
 
@@ -170,17 +170,19 @@ def grid_search(df: DataFrame, kind: str, numeric: Sequence[str], categorical: S
     df.unpersist()
     rows = []
     for pm, auc in zip(maps, cvm.avgMetrics):
-        rows.append(({p.name: str(v) for p, v in pm.items()}, float(auc)))
-    res = df.sparkSession.createDataFrame(rows, "params map<string,string>, mean_auc double")
+        rows.append(({p.name: str(v) for p, v in pm.items()}, [p.name for p in pm], float(auc)))
+    # a map keeps no order: the grid's is beside it
+    res = df.sparkSession.createDataFrame(rows, "params map<string,string>, grid array<string>, mean_auc double")
     return cvm.bestModel, res
 
 
 def param_importance(results: DataFrame, limit: int = 6) -> DataFrame:
-    """Per parameter, max − min of the mean score over its values."""
-    e = results.select(F.explode("params").alias("param", "value"), "mean_auc")
-    per_value = e.groupBy("param", "value").agg(F.avg("mean_auc").alias("m"))
-    return (per_value.groupBy("param").agg((F.max("m") - F.min("m")).alias("importance"))
-            .orderBy("param").limit(limit).orderBy(F.desc("importance"), "param"))
+    """Per parameter, max − min of the mean score over its values, for the
+    first ``limit`` parameters in grid order."""
+    e = results.select("params", F.posexplode("grid").alias("place", "param"), "mean_auc").withColumn("value", F.col("params")[F.col("param")])
+    per_value = e.groupBy("param", "value").agg(F.avg("mean_auc").alias("m"), F.min("place").alias("place"))
+    return (per_value.groupBy("param").agg((F.max("m") - F.min("m")).alias("importance"), F.min("place").alias("place"))
+            .orderBy("place", "param").limit(limit).orderBy(F.desc("importance"), "param").drop("place"))
 
 
 def feature_importance(model: PipelineModel, data: DataFrame) -> dict[str, float] | None:
@@ -190,12 +192,22 @@ def feature_importance(model: PipelineModel, data: DataFrame) -> dict[str, float
     clf = model.stages[-1]
     if not hasattr(clf, "featureImportances"):
         return None
-    field = model.transform(data.limit(0)).schema[clf.getFeaturesCol()]
-    named = {a["idx"]: a["name"] for group in field.metadata["ml_attr"]["attrs"].values() for a in group}
-    out: dict[str, float] = {}
-    for i, v in enumerate(clf.featureImportances.toArray()):
-        source = named[i].split("__oh")[0].split("__te")[0]
-        out[source] = out.get(source, 0.0) + float(v)
+    # which column an encoder made from which, as the stages themselves say
+    made = {o: i for stage in model.stages[:-1] if stage.hasParam("inputCols") and stage.hasParam("outputCols")
+            for i, o in zip(stage.getInputCols(), stage.getOutputCols())}
+    assembler = next(s for s in model.stages if isinstance(s, VectorAssembler))
+    empty = data.limit(0)
+    if empty.isStreaming:
+        empty = data.sparkSession.createDataFrame([], data.schema)
+    schema = model.transform(empty).schema
+    widths = {c: schema[c].metadata.get("ml_attr", {}).get("num_attrs", 1) for c in assembler.getInputCols()}
+    values, at, out = clf.featureImportances.toArray(), 0, {}
+    for c, width in widths.items():
+        source = c
+        while source in made:
+            source = made[source]
+        out[source] = out.get(source, 0.0) + float(values[at:at + width].sum())
+        at += width
     return out
 
 

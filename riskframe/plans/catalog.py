@@ -31,7 +31,7 @@ def register(name: str, oracle: str | None = None):
 
 def load_all() -> None:
     """Import every query module (each registers itself)."""
-    from . import (alert_queries, ml_queries, monitor_queries, profile_queries, scoring_queries,  # noqa: F401
+    from . import (alert_queries, ml_queries, model_queries, monitor_queries, profile_queries, scoring_queries,  # noqa: F401
                    series_queries, stats_queries)
 
 

@@ -168,5 +168,12 @@ def scorecard_summary_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 def score_stream(apps_stream: DataFrame) -> tuple[DataFrame, DataFrame]:
     """M6: stateless scorecard over an application stream → (scored valid, quarantine)."""
     v = validate_applications(apps_stream)
-    scored = A.scorecard(A.fill_defaults(v.where("is_valid").drop("reasons", "is_valid")))
-    return scored, v.where(~F.col("is_valid"))
+    scored = A.scorecard(A.fill_defaults(v.where("is_valid").drop("reasons", "is_valid"))).withColumn(
+        "features_importance", F.create_map(*[x for k, w in A.SCORECARD_IMPORTANCE.items() for x in (F.lit(k), F.lit(w))]))
+    return scored, v.where(~F.col("is_valid")).drop("is_valid")
+
+
+def scored_streams(apps_stream: DataFrame, spark: SparkSession, scorer) -> tuple[DataFrame, DataFrame]:
+    """Run both sides of ``scorer`` (stream → scored, quarantined) over all there is
+    into tables: two appending queries with a checkpoint each."""
+    return tuple(run_to_files(side, spark) for side in scorer(apps_stream))
