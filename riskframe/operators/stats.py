@@ -17,7 +17,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import labels as L
-from .core import col, melt, numeric_columns, one_pass, running_totals, safe_corr, small_join, value_quantiles
+from .core import col, melt, numeric_columns, one_pass, small_join, value_quantiles
+from .correlation import correlation_matrix, pearson_pairs
 
 
 # --------------------------------------------------------------------------- F7
@@ -135,46 +136,17 @@ def pair_density(df: DataFrame, columns: Sequence[str] | None = None, bins: int
 
 # --------------------------------------------------------------------------- G1 / G2 / G8
 
-def rank_table(df: DataFrame, c: str, out: str) -> DataFrame:
-    """(value, tie-averaged 1-based rank) of column ``c``: value counts ->
-    distributed running totals (one row per distinct value)."""
-    counts = df.groupBy(col(c).alias("_v")).agg(F.count(F.lit(1)).alias("_n"))
-    cum = running_totals(counts, [], "_v", ["_n"])
-    return cum.select(F.col("_v").alias(f"_v_{out}"), (F.col("cum__n") - (F.col("_n") - 1) / 2.0).alias(out))
-
-
-def correlation_matrix(df: DataFrame, columns: Sequence[str], method: str = "pearson") -> DataFrame:
-    """Long (var1, var2, r) over complete-case rows.  Pearson: one aggregate of
-    co-moments; Spearman: the same on tie-averaged ranks."""
-    if len(columns) < 2:
-        return df.sparkSession.createDataFrame([], "var1 string, var2 string, r double")
-    cc = df.select(*[col(c).cast("double").alias(c) for c in columns]).dropna()
-    names = list(columns)
-    if method == "spearman":
-        # every rank table comes from the same base rows; each is joined back on its value
-        # (AQE splits a hot value on the data side)
-        tables = [rank_table(cc, c, f"_r{i}") for i, c in enumerate(columns)]
-        for i, (c, t) in enumerate(zip(columns, tables)):
-            cc = cc.join(t, col(c) == F.col(f"_v__r{i}"), "inner").drop(f"_v__r{i}")
-        names = [f"_r{i}" for i in range(len(columns))]
-    elif method != "pearson":
-        raise ValueError(f"unsupported method {method!r}")
-    pairs = [(i, j) for i in range(len(names)) for j in range(i + 1, len(names))]
-    structs = [F.struct(F.lit(columns[i]).alias("var1"), F.lit(columns[j]).alias("var2"),
-                        safe_corr(col(names[i]), col(names[j])).alias("r")) for i, j in pairs]
-    return cc.agg(F.array(*structs).alias("_s")).select(F.inline("_s"))
-
-
 def correlations(df: DataFrame, columns: Sequence[str] | None = None, methods: Sequence[str] = ("pearson",),
                  threshold: float = 0.5) -> DataFrame:
     """Every unordered numeric pair on complete-case rows: |r| per method
-    (2 dp) and its Cheddock label (from the unrounded value); a pair is kept
+    (2 dp) and its Cheddock label (from 12 digits: what sums in another order
+    leave of a perfect 1 is still perfect); a pair is kept
     when any rounded |r| reaches ``threshold``; sorted by the first method."""
     cols = list(columns) if columns is not None else numeric_columns(df)
     out = None
     for m in methods:
         r = correlation_matrix(df, cols, m).select(
-            "var1", "var2", F.round(F.abs("r"), 2).alias(m), L.cheddock(F.abs("r")).alias(f"{m}_label"))
+            "var1", "var2", F.round(F.abs("r"), 2).alias(m), L.cheddock(F.round(F.abs("r"), 12)).alias(f"{m}_label"))
         out = r if out is None else out.join(r, ["var1", "var2"])
     keep = None
     for m in methods:
@@ -183,17 +155,6 @@ def correlations(df: DataFrame, columns: Sequence[str] | None = None, methods: S
     return out.where(keep).orderBy(F.desc(methods[0]))
 
 
-def pearson_pairs(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
-    """Pairwise-complete Pearson r for every unordered pair (one aggregate)."""
-    cols = list(columns) if columns is not None else numeric_columns(df)
-    pairs = [(a, b) for i, a in enumerate(cols) for b in cols[i + 1:]]
-    if not pairs:
-        return df.sparkSession.createDataFrame([], "var1 string, var2 string, r double")
-    structs = [F.struct(F.lit(a).alias("var1"), F.lit(b).alias("var2"),
-                        safe_corr(col(a), col(b)).alias("r")) for a, b in pairs]
-    return df.agg(F.array(*structs).alias("_s")).select(F.inline("_s"))
-
-
 def high_correlation_pairs(df: DataFrame, columns: Sequence[str] | None = None,
                            threshold: float = 0.95) -> DataFrame:
     """Pairs with |pairwise-complete r| > threshold."""

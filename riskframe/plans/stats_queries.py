@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators import quality as Q
+from ..operators import correlation as C
 from ..operators import stats as S
 from . import inputs as I
 from .catalog import register
@@ -108,7 +109,9 @@ def pair_density_lines(spark, sf_dir):
 
 # --------------------------------------------------------------------------- G1 / G2 / G8
 
-CORR = ["l_quantity", "l_extendedprice", "l_discount", "l_tax", "net_price"]
+#: every numeric column of the loan table
+CORR = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_discount", "l_tax",
+        "tax_gap", "net_price", "target"]
 
 
 def _corr_sql() -> str:
@@ -122,23 +125,52 @@ def _corr_sql() -> str:
     return I.with_ctes(I.LOAN_TABLE_SQL) + f"""
 , cc AS (SELECT {', '.join(CORR)} FROM loan_table WHERE {' AND '.join(c + ' IS NOT NULL' for c in CORR)}),
 ranked AS (SELECT *, {ranks} FROM cc)
-SELECT var1, var2, round(p, 2) AS pearson, {lab('p')} AS pearson_label, round(s, 2) AS spearman, {lab('s')} AS spearman_label
+SELECT var1, var2, round(p, 2) AS pearson, {lab('round(p, 12)')} AS pearson_label, round(s, 2) AS spearman, {lab('round(s, 12)')} AS spearman_label
 FROM ({_union(parts)}) WHERE round(p, 2) >= 0.5 OR round(s, 2) >= 0.5"""
 
 
 @register("correlations_lines", _corr_sql())
 def correlations_lines(spark, sf_dir):
-    return S.correlations(I.loan_table(spark, sf_dir), CORR, methods=("pearson", "spearman"), threshold=0.5)
+    return S.correlations(I.loan_table(spark, sf_dir), methods=("pearson", "spearman"), threshold=0.5)
 
 
 @register("high_correlation_pairs_lines", I.with_ctes(I.LOAN_TABLE_SQL) + _union([
     f"SELECT '{a}' AS var1, '{b}' AS var2, round(corr({a}, {b}), 6) AS r FROM loan_table HAVING abs(corr({a}, {b})) > 0.95"
-    for i, a in enumerate(NUM + ["net_price"]) for b in (NUM + ["net_price"])[i + 1:]]))
+    for i, a in enumerate(CORR) for b in CORR[i + 1:]]))
 def high_correlation_pairs_lines(spark, sf_dir):
-    h = S.high_correlation_pairs(I.loan_table(spark, sf_dir), NUM + ["net_price"], 0.95)
+    h = S.high_correlation_pairs(I.loan_table(spark, sf_dir), threshold=0.95)
     return h.select("var1", "var2", _r("r"))
 
 
+def _kendall_frame(spark, sf_dir):
+    """Orders' totals in thousands, priority and week as numbers: many ties."""
+    o = I.table(spark, sf_dir, "orders")
+    return o.select(F.floor(F.col("o_totalprice") / 1000).alias("total"), F.substring("o_orderpriority", 1, 1).cast("int").alias("priority"),
+                    F.floor(F.datediff(F.col("o_orderdate").cast("date"), F.lit("1992-01-01").cast("date")) / 7).alias("week"))
+
+
+@register("kendall_orders", """
+WITH o AS (SELECT CAST(floor(o_totalprice / 1000) AS BIGINT) AS total, CAST(substr(o_orderpriority, 1, 1) AS BIGINT) AS priority,
+                  CAST(floor(date_diff('day', DATE '1992-01-01', CAST(o_orderdate AS DATE)) / 7.0) AS BIGINT) AS week FROM orders),
+l AS (""" + _union([f"SELECT '{x}' AS var1, 'total' AS var2, {x} AS x, total AS y FROM o" for x in ("priority", "week")]) + """),
+c AS (SELECT var1, var2, x, y, count(*) AS n FROM l GROUP BY ALL),
+p AS (SELECT a.var1, a.var2, sum(a.n * b.n) FILTER (WHERE a.x < b.x AND a.y < b.y) AS concordant,
+             sum(a.n * b.n) FILTER (WHERE a.x < b.x AND a.y > b.y) AS discordant FROM c a JOIN c b ON a.var1 = b.var1 GROUP BY ALL),
+tx AS (SELECT var1, sum(n * (n - 1) / 2) AS t FROM (SELECT var1, x, sum(n) AS n FROM c GROUP BY ALL) GROUP BY 1),
+ty AS (SELECT var1, sum(n * (n - 1) / 2) AS t FROM (SELECT var1, y, sum(n) AS n FROM c GROUP BY ALL) GROUP BY 1),
+s AS (SELECT var1, sum(n) AS n FROM c GROUP BY 1)
+SELECT p.var1, p.var2, round((concordant - discordant) / sqrt((n * (n - 1) / 2.0 - tx.t) * (n * (n - 1) / 2.0 - ty.t)), 6) AS tau_b,
+       CAST(n AS BIGINT) AS n, CAST(concordant AS BIGINT) AS concordant, CAST(discordant AS BIGINT) AS discordant
+FROM p JOIN tx ON p.var1 = tx.var1 JOIN ty ON p.var1 = ty.var1 JOIN s ON p.var1 = s.var1""")
+def kendall_orders(spark, sf_dir):
+    """G3 of priority and week against the total of an order."""
+    o = _kendall_frame(spark, sf_dir)
+    both = [C.kendall_tau_b(o, x, "total", 6).select(F.lit(x).alias("var1"), F.lit("total").alias("var2"), "tau_b", "n",
+                                                     F.col("concordant").cast("long").alias("concordant"), F.col("discordant").cast("long").alias("discordant"))
+            for x in ("priority", "week")]
+    return both[0].unionByName(both[1])
+
+
 # --------------------------------------------------------------------------- G4 / G5
 
 CHI_PAIRS = [("segment", "purpose"), ("short_term", "target_text"), ("home_ownership", "term")]

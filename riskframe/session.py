@@ -8,8 +8,9 @@ the bench only.
 from __future__ import annotations
 
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 #: settings every session should carry (all public Spark options)
 DEFAULT_CONF = {
@@ -58,3 +59,11 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if not spark.sparkContext.getCheckpointDir():
         spark.sparkContext.setCheckpointDir(path)
     return path
+
+
+def written(df: DataFrame) -> DataFrame:
+    """``df`` written as a table in the shared checkpoint folder and read again: the
+    lineage is cut, and plans go on with the size of the files."""
+    path = f"{ensure_checkpoint_dir(df.sparkSession).rstrip('/')}/cut-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
