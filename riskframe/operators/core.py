@@ -223,3 +223,42 @@ def hash_rank(df: DataFrame, key_cols: Sequence[str], seed: int | str = 42,
                         known_rows=16 ** prefix_chars if not strata else None)
     w = Window.partitionBy(*strata, "_p").orderBy("_h")
     return joined.withColumn(rank_col, F.col("_off") + F.row_number().over(w)).drop("_off", "_p")
+
+
+def hash_cuts(df: DataFrame, key_cols: Sequence[str], wanted: Callable[[Column], Column], seed: int | str = 42,
+              strata: Sequence[str] = (), prefix_chars: int = 4) -> DataFrame:
+    """(strata…, _cut): the rows of a stratum of n rows whose ``hash_key`` is at
+    most _cut are its first ``wanted(n)`` by ``hash_rank`` (none below '').
+
+    No row is shuffled: counts of hash prefixes say which prefix holds the cut,
+    and only the hashes of that prefix, one in 16**prefix_chars, are ordered.
+    The keys must be unique.
+    """
+    strata = list(strata)
+    h = df.select(*[col(c) for c in strata], hash_key(key_cols, seed).alias("_h")).withColumn("_p", F.substring("_h", 1, prefix_chars))
+    cum = running_totals(h.groupBy(*strata, "_p").agg(F.count(F.lit(1)).alias("_c")), strata, "_p", ["_c"])
+    sizes = cum.groupBy(*strata).agg(F.max("cum__c").alias("_n"))
+    sized = keyed_join(cum, sizes, strata) if strata else cum.crossJoin(sizes)  # one row of sizes
+    before = F.col("cum__c") - F.col("_c")
+    holds = sized.withColumn("_k", wanted(F.col("_n")).cast("long")).where((before < F.col("_k")) & (F.col("_k") <= F.col("cum__c"))).select(
+        *strata, "_p", (F.col("_k") - before).alias("_need")).checkpoint()
+    n = holds.count()  # one row for each stratum
+    inside = keyed_join(h, holds, [*strata, "_p"], known_rows=n)
+    place = F.row_number().over(_win(strata).orderBy("_h"))
+    found = inside.withColumn("_place", place).where(F.col("_place") == F.col("_need")).select(*strata, F.col("_h").alias("_cut"))
+    if not strata:
+        return found
+    return keyed_join(sizes.select(*strata), found, strata, "left", known_rows=n).withColumn("_cut", F.coalesce("_cut", F.lit(""))).checkpoint()
+
+
+def first_by_hash(df: DataFrame, key_cols: Sequence[str], wanted: Callable[[Column], Column], seed: int | str = 42,
+                  strata: Sequence[str] = (), out: str = "_first") -> DataFrame:
+    """``df`` plus ``out``: whether the row is among its stratum's first ``wanted(n)``
+    by ``hash_rank``; a comparison with the stratum's cut, no exchange of rows."""
+    cuts = hash_cuts(df, key_cols, wanted, seed, strata)
+    own = hash_key(key_cols, seed)
+    if not strata:
+        row = cuts.first()
+        return df.withColumn(out, own <= F.lit(row["_cut"] if row else ""))
+    marked = keyed_join(df.withColumn("_own", own), cuts, list(strata), known_rows=cuts.count())
+    return marked.withColumn(out, F.col("_own") <= F.col("_cut")).drop("_own", "_cut")

@@ -1,9 +1,11 @@
 """Exact seeded sampling and splitting.
 
 pandas/sklearn draw exact sample sizes; Spark's ``sample`` is Bernoulli.
-Here a row's place in the sample is decided by ``md5(key‖seed)`` ranks
-(``core.hash_rank``): exact sizes, reproducible across runs, engines and
-executor losses (no dependence on partitioning or task order).
+Here a row's place in the sample is decided by the rank of ``md5(key‖seed)``:
+exact sizes, reproducible across runs, engines and executor losses (no
+dependence on partitioning or task order).  A sample needs only the hash at
+which the rank reaches its size (``core.hash_cuts``): rows are compared with
+it where they are and never shuffled.  Folds need every rank (``hash_rank``).
 """
 
 from __future__ import annotations
@@ -13,7 +15,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .core import col, hash_rank
+from .core import col, first_by_hash, hash_rank
 
 
 def _k(frac: float, n) -> F.Column:
@@ -27,8 +29,7 @@ def sample_exact(df: DataFrame, key: Sequence[str], frac: float, seed: int = 42,
     Bernoulli ``df.sample``).  ``key`` must identify rows uniquely."""
     if not exact:
         return df.sample(withReplacement=False, fraction=frac, seed=seed)
-    r = hash_rank(df, key, seed)
-    return r.where(F.col("_rank") <= _k(frac, F.col("_stratum_n"))).select(*df.columns)
+    return first_by_hash(df, key, lambda n: _k(frac, n), seed).where("_first").select(*[col(c) for c in df.columns])
 
 
 def stratified_split(df: DataFrame, key: Sequence[str], target: str, test_size: float = 0.2,
@@ -39,9 +40,8 @@ def stratified_split(df: DataFrame, key: Sequence[str], target: str, test_size:
         raise ValueError(f"target column {target!r} not found")
     n_classes = df.select(F.count_distinct(col(target))).first()[0]
     strata = [target] if n_classes >= 2 else []
-    r = hash_rank(df, key, seed, strata=strata)
-    return r.withColumn("split", F.when(F.col("_rank") <= _k(test_size, F.col("_stratum_n")), "test")
-                        .otherwise("train")).select(*df.columns, "split")
+    r = first_by_hash(df, key, lambda n: _k(test_size, n), seed, strata)
+    return r.select(*[col(c) for c in df.columns], F.when(F.col("_first"), "test").otherwise("train").alias("split"))
 
 
 def stratified_folds(df: DataFrame, key: Sequence[str], target: str, k: int = 5,

@@ -1,5 +1,6 @@
 """Exact sampling and splits (sizes asserted by the reference's tests)."""
 
+import pytest
 from pyspark.sql import functions as F
 
 from riskframe.operators import sampling as D
@@ -33,3 +34,30 @@ def test_folds_balanced(spark):
     for r in f:
         by_class.setdefault(r.target, []).append(r["count"])
     assert all(max(v) - min(v) <= 1 and len(v) == 5 for v in by_class.values())
+
+
+@pytest.mark.parametrize("frac", [0.0, 0.1, 0.5, 1.0])
+def test_samples_are_the_first_by_rank_without_an_exchange_of_rows(spark, frac):
+    """The cut gives the rows that the full ranking gives, null and tiny strata included."""
+    from riskframe.operators.core import hash_rank
+    df = spark.range(3000).select("id", F.when(F.col("id") % 7 == 0, None).when(F.col("id") == 5, "one").otherwise((F.col("id") % 3).cast("string")).alias("s"),
+                                  F.repeat(F.lit("payload"), 3).alias("_h"))
+    ranked = hash_rank(df.drop("_h"), ["id"], 7, ["s"])
+    want = {r["id"] for r in ranked.where(F.col("_rank") <= F.bround(F.lit(frac) * F.col("_stratum_n"), 0)).collect()}
+    split = D.stratified_split(df, ["id"], "s", frac, seed=7)
+    assert {r["id"] for r in split.where("split = 'test'").collect()} == want and split.count() == 3000
+    assert split.columns == ["id", "s", "_h", "split"]
+    sample = D.sample_exact(df, ["id"], frac, seed=7)
+    whole = hash_rank(df.drop("_h"), ["id"], 7)
+    assert {r["id"] for r in sample.collect()} == {r["id"] for r in whole.where(F.col("_rank") <= round(frac * 3000)).collect()}
+    for plan in (df_plan(split), df_plan(sample)):
+        assert "Exchange hashpartitioning" not in plan and "Exchange rangepartitioning" not in plan and "Window" not in plan
+
+
+def df_plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_samples_of_an_empty_table(spark):
+    none = spark.createDataFrame([], "id long, s string")
+    assert D.sample_exact(none, ["id"], 0.5).count() == 0 and D.stratified_split(none, ["id"], "s").count() == 0
