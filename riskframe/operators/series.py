@@ -8,12 +8,15 @@ the bucketed ``row_index`` instead of an un-partitioned window.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from statistics import NormalDist
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .core import col, keyed_join, range_buckets, small_join
+from ..session import written
+from .core import col, keyed_join, range_buckets
 
 PARTS = {"year": F.year, "month": F.month, "day": F.dayofmonth, "hour": F.hour}
 # pivot columns per frequency (fixed, so the pivot needs no extra distinct job)
@@ -69,27 +72,145 @@ def row_index(df: DataFrame, order: Sequence[str], keys: Sequence[str] = (), buc
     return j.withColumn(out, F.col("_off") + F.row_number().over(w) - 1).drop("_bucket", "_off")
 
 
+#: rows of a time block (more where a halo asks for it)
+BLOCK_ROWS = 32_768
+
+
+def halo_blocks(indexed: DataFrame, width: int, keys: Sequence[str] = (), block_rows: int = BLOCK_ROWS) -> DataFrame:
+    """``indexed`` (with a position _idx from 0 within ``keys``) plus _block: rows in
+    blocks of consecutive positions, each with the ``width`` rows before it as
+    well (a block is at least four times as long).  Grouped by (keys, _block),
+    a block sees all lags up to ``width`` of its own rows: those with _own."""
+    size = max(block_rows, 4 * width)
+    block, place = F.floor(F.col("_idx") / size), F.col("_idx") % size
+    own = F.struct(block.alias("_block"), F.lit(True).alias("_own"))
+    ahead = F.struct((block + 1).alias("_block"), F.lit(False).alias("_own"))
+    copies = F.when(place >= size - width, F.array(own, ahead)).otherwise(F.array(own))
+    return indexed.withColumn("_c", F.explode(copies)).select(*indexed.columns, "_c._block", "_c._own")
+
+
+def _lag_sums(keys: Sequence[str], lags: int):
+    def lag_sums(rows: pa.Table) -> pa.Table:
+        rows = rows.sort_by("_idx")
+        d, own = rows["d"].to_numpy(), rows["_own"].to_numpy(zero_copy_only=False)
+        first = int(own.argmax()) if own.any() else len(d)
+        sums = [float(d[max(first, k):] @ d[max(first, k) - k:len(d) - k]) if len(d) > k else 0.0 for k in range(lags + 1)]
+        heads = [pa.array([rows[k][0].as_py()] * (lags + 1), rows.schema.field(k).type) for k in keys]
+        return pa.table([*heads, pa.array(range(lags + 1), pa.int32()), pa.array(sums)], names=[*keys, "lag", "_s"])
+    return lag_sums
+
+
 def acf(df: DataFrame, order: Sequence[str], value: str = "value", lags: int = 50,
         keys: Sequence[str] = ()) -> DataFrame:
-    """H3 autocorrelation (overall mean, denominator n) for lags 0..``lags``:
-    each row is joined to the rows up to ``lags`` positions ahead by an
-    equi-join on (key, index) — linear in rows × lags, no self cross join."""
+    """H3 autocorrelation (overall mean, denominator n) for lags 0..``lags``: time
+    blocks with a halo of ``lags`` rows, one shuffle of about the rows themselves,
+    and one small row for each block and lag.  Null for a constant series."""
     keys = list(keys)
-    base = row_index(df.where(col(value).isNotNull()), order, keys).select(*keys, "_idx", col(value).alias("x"))
+    base = row_index(df.where(col(value).isNotNull()), order, keys).select(*[col(k) for k in keys], "_idx", col(value).cast("double").alias("x"))
     if keys:
-        stats = base.groupBy(*keys).agg(F.avg("x").alias("_m"))
-        centred = base.join(stats, keys).withColumn("d", F.col("x") - F.col("_m"))
+        centred = keyed_join(base, base.groupBy(*keys).agg(F.avg("x").alias("_m")), keys).withColumn("d", F.col("x") - F.col("_m"))
     else:
         # the series mean is one scalar subquery
         centred = base.withColumn("d", F.col("x") - base.select(F.avg("x")).scalar())
-    centred = centred.select(*keys, "_idx", "d")
-    ahead = centred.select(*keys, F.explode(F.sequence(F.lit(0), F.lit(lags))).alias("lag"), "_idx", "d")
-    ahead = ahead.select(*keys, "lag", (F.col("_idx") + F.col("lag")).alias("_idx"), F.col("d").alias("d0"))
-    pairs = ahead.join(centred.withColumnRenamed("d", "dk"), [*keys, "_idx"])
-    num = pairs.groupBy(*keys, "lag").agg(F.sum(F.col("d0") * F.col("dk")).alias("_s"))
+    blocks = halo_blocks(centred.select(*keys, "_idx", "d"), lags, keys)
+    types = "".join(f"`{k}` {df.schema[k].dataType.simpleString()}, " for k in keys)
+    parts = blocks.groupBy(*keys, "_block").applyInArrow(_lag_sums(keys, lags), types + "lag int, _s double")
+    num = parts.groupBy(*keys, "lag").agg(F.sum("_s").alias("_s"))
     c0 = F.sum(F.when(F.col("lag") == 0, F.col("_s"))).over(
         Window.partitionBy(*keys) if keys else Window.partitionBy(F.lit(0)))   # lags+1 rows per key
-    return num.select(*keys, "lag", (F.col("_s") / c0).alias("acf"))
+    return num.select(*keys, "lag", F.try_divide("_s", c0).alias("acf"))
+
+
+# --------------------------------------------------------------------------- H4
+
+# Response surfaces of the Dickey-Fuller distribution with a constant.
+# p-values (MacKinnon 1994): below DF_STAR the first polynomial, above it the second.
+DF_MIN, DF_STAR, DF_MAX = -18.83, -1.61, 2.74
+DF_SMALL = (2.1659, 1.4412, 0.038269)
+DF_LARGE = (1.7339, 0.93202, -0.12745, -0.010368)
+# critical values (MacKinnon 2010): powers of one over the observations
+DF_CRITICAL = {"1%": (-3.43035, -6.5393, -16.786, -79.433), "5%": (-2.86154, -2.8903, -4.234, -40.04), "10%": (-2.56677, -1.5384, -2.809, 0.0)}
+
+
+def dickey_fuller_p(statistic: float) -> float:
+    """P-value of an (augmented) Dickey-Fuller statistic, regression with a constant."""
+    if statistic > DF_MAX:
+        return 1.0
+    if statistic < DF_MIN:
+        return 0.0
+    powers = DF_SMALL if statistic <= DF_STAR else DF_LARGE
+    return NormalDist().cdf(sum(c * statistic ** i for i, c in enumerate(powers)))
+
+
+def _lagged(x: np.ndarray, first: int, lags: int) -> np.ndarray:
+    """Rows (1, x[t-1], dx[t-1], …, dx[t-lags], dx[t]) for t from ``first`` on."""
+    dx, t = np.diff(x), np.arange(first, len(x))
+    return np.column_stack([np.ones(len(t)), x[t - 1], *[dx[t - 1 - k] for k in range(1, lags + 1)], dx[t - 1]])
+
+
+def _normal_equations(lags: int, mean: float, spread: float):
+    def normal_equations(rows: pa.Table) -> pa.Table:
+        rows = rows.sort_by("_idx")
+        x = (rows["x"].to_numpy() - mean) / spread
+        own = rows["_own"].to_numpy(zero_copy_only=False)
+        # the first block has no rows before it: its lags begin after ``lags`` + 1 rows
+        first = max(int(own.argmax()), lags + 1)
+        m = _lagged(x, first, lags) if own.any() and len(x) > first else np.zeros((0, lags + 3))
+        return pa.table({"i": pa.array(np.arange(lags + 3), pa.int32()), "g": pa.array(list(m.T @ m))})
+    return normal_equations
+
+
+def _regression(gram: np.ndarray, n: int, lags: int) -> tuple[float, float]:
+    """(residual sum of squares, t of the level) of dx on a constant, the level and the
+    first ``lags`` lagged differences, from normal equations whose last row is dx."""
+    k = lags + 2
+    scale = np.sqrt(np.where(np.diag(gram) > 0, np.diag(gram), 1.0))
+    g = gram / np.outer(scale, scale)
+    inverse = np.linalg.pinv(g[:k, :k], hermitian=True)
+    beta = inverse @ g[:k, -1]
+    rss = max(0.0, float(g[-1, -1] - g[:k, -1] @ beta)) * scale[-1] ** 2
+    error = np.sqrt(rss / scale[-1] ** 2 / (n - k) * inverse[1, 1]) if n > k else 0.0
+    return rss, float(beta[1] / error) if error > 0 else float("nan")
+
+
+def adf(df: DataFrame, order: Sequence[str], value: str = "value", max_lag: int | None = None) -> DataFrame:
+    """H4 augmented Dickey-Fuller test with a constant: one row of statistic, p_value,
+    used_lag, n_obs, crit_1, crit_5, crit_10 and stationary (p < 0.05).
+
+    The lag is that of the least AIC among 0 .. max_lag (12 (n/100)^(1/4), rounded
+    up), all compared on the same rows; the test is then run on every row that
+    the chosen lag allows.  Time blocks with a halo return their lagged normal
+    equations, which are summed: one matrix serves all lags, and its size (the
+    number of lags squared) is what the driver gets, besides the first rows.
+    Null results for a constant series or one of fewer than eight values."""
+    spark = df.sparkSession
+    schema = "statistic double, p_value double, used_lag int, n_obs long, crit_1 double, crit_5 double, crit_10 double, stationary boolean"
+    series = df.where(col(value).isNotNull() & ~F.isnan(col(value).cast("double")))
+    n, mean, spread = series.agg(F.count(F.lit(1)), F.avg(col(value).cast("double")), F.stddev_pop(col(value).cast("double"))).first()
+    if n < 8 or not spread:
+        return spark.createDataFrame([(None,) * 8], schema)
+    lags = int(np.ceil(12 * (n / 100) ** 0.25)) if max_lag is None else max_lag
+    lags = max(0, min(lags, n // 2 - 2))
+    indexed = written(row_index(series, order).select("_idx", col(value).cast("double").alias("x")))
+    parts = halo_blocks(indexed, lags + 1).groupBy("_block").applyInArrow(_normal_equations(lags, mean, spread), "i int, g array<double>")
+    summed = parts.select("i", F.posexplode("g").alias("j", "v")).groupBy("i", "j").agg(F.sum("v").alias("v")).toPandas()
+    gram = np.zeros((lags + 3, lags + 3))
+    gram[summed["i"], summed["j"]] = summed["v"]
+    rows = n - 1 - lags
+    aic = [rows * np.log(max(_regression(gram[np.ix_(keep, keep)], rows, k)[0], 1e-300) / rows) + 2 * (k + 2)
+           for k in range(lags + 1) for keep in [[*range(k + 2), lags + 2]]]
+    used = int(np.argmin(aic))
+    # rows that the chosen lag allows besides: all among the first of the series
+    head = indexed.where(F.col("_idx") <= lags).orderBy("_idx").toPandas()["x"].to_numpy()
+    more = _lagged((head - mean) / spread, used + 1, used)
+    keep = [*range(used + 2), lags + 2]
+    final, rows = gram[np.ix_(keep, keep)] + more.T @ more, n - 1 - used
+    statistic = _regression(final, rows, used)[1]
+    if not np.isfinite(statistic):
+        return spark.createDataFrame([(None,) * 8], schema)
+    p = dickey_fuller_p(statistic)
+    critical = [sum(c / rows ** i for i, c in enumerate(powers)) for powers in DF_CRITICAL.values()]
+    return spark.createDataFrame([(statistic, p, used, rows, *critical, p < 0.05)], schema)
 
 
 def pacf_from_acf(acf_values: Sequence[float], n: int, lags: int) -> list[float]:

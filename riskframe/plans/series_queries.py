@@ -83,6 +83,12 @@ def pacf_events(spark, sf_dir):
     return spark.createDataFrame([(i, float(v)) for i, v in enumerate(vals)], "lag int, pacf double")
 
 
+@register("adf_events")
+def adf_events(spark, sf_dir):
+    """H4 augmented Dickey–Fuller test of event values in time order."""
+    return H.adf(I.table(spark, sf_dir, "events"), ["ts", "event_id"], "value")
+
+
 @register("decompose_hourly_events", """
 WITH b AS (SELECT date_trunc('hour', ts) AS t, avg(value) AS x FROM events GROUP BY 1),
 i AS (SELECT *, row_number() OVER (ORDER BY t) - 1 AS i, count(*) OVER () AS n FROM b),
