@@ -45,6 +45,33 @@ def kolmogorov_pvalue(d: Column, n1: Column, n2: Column, terms: int = 100) -> Co
     return F.when(lam < 0.04, 1.0).otherwise(F.least(F.lit(1.0), F.greatest(F.lit(0.0), q)))
 
 
+def _ks_statistics(counts: DataFrame) -> DataFrame:
+    """(column, tot_ref, tot_cur, ks_statistic) from (column, value, n_ref, n_cur);
+    columns with no value on a side are left out."""
+    cum = running_totals(counts, ["column"], "value", ["n_ref", "n_cur"])
+    tot = counts.groupBy("column").agg(F.sum("n_ref").alias("tot_ref"), F.sum("n_cur").alias("tot_cur"))
+    stat = cum.join(tot.where((F.col("tot_ref") > 0) & (F.col("tot_cur") > 0)), "column").groupBy("column", "tot_ref", "tot_cur")
+    return stat.agg(F.max(F.abs(F.col("cum_n_ref") / F.col("tot_ref") - F.col("cum_n_cur") / F.col("tot_cur"))).alias("ks_statistic"))
+
+
+def drift_from_counts(reference: DataFrame, current: DataFrame) -> DataFrame:
+    """J1 from value counts (column, value, n), the rows that ``ks_drift`` gives on
+    the values themselves."""
+    both = reference.select("column", "value", F.col("n").alias("n_ref"), F.lit(0).cast("long").alias("n_cur")).unionByName(
+        current.select("column", "value", F.lit(0).cast("long").alias("n_ref"), F.col("n").alias("n_cur")))
+    counts = both.groupBy("column", "value").agg(F.sum("n_ref").alias("n_ref"), F.sum("n_cur").alias("n_cur"))
+    stat = _ks_statistics(counts)
+    means = counts.groupBy("column").agg(*[F.try_divide(F.sum(F.col("value") * F.col(f"n_{s}")), F.sum(f"n_{s}")).alias(f"m_{s}") for s in ("ref", "cur")])
+    # spreads about the means: one row of means for each column
+    spread = lambda s: F.sqrt(F.try_divide(F.sum(F.col(f"n_{s}") * (F.col("value") - F.col(f"m_{s}")) ** 2), F.sum(f"n_{s}") - 1))
+    moments = counts.join(means, "column").groupBy("column", "m_ref", "m_cur").agg(spread("ref").alias("s_ref"), spread("cur").alias("s_cur"))
+    p = kolmogorov_pvalue(F.col("ks_statistic"), F.col("tot_ref").cast("double"), F.col("tot_cur").cast("double"))
+    return stat.join(moments, "column").withColumn("p_value", p).select(
+        F.col("column").alias("feature"), "ks_statistic", "p_value", (F.col("p_value") < DRIFT_P_THRESHOLD).alias("drift_detected"),
+        F.col("m_ref").alias("reference_mean"), F.col("m_cur").alias("current_mean"), F.col("s_ref").alias("reference_std"),
+        F.col("s_cur").alias("current_std"), F.col("tot_ref").alias("reference_n"), F.col("tot_cur").alias("current_n"))
+
+
 def ks_drift(reference: DataFrame, current: DataFrame, features: Sequence[str] | None = None) -> DataFrame:
     """Per numeric feature present in both tables (nulls dropped; skipped
     when a side has no values): ks_statistic, p_value, drift (p < 0.1),
@@ -56,12 +83,7 @@ def ks_drift(reference: DataFrame, current: DataFrame, features: Sequence[str] |
     both = ref.unionByName(cur)
     counts = both.groupBy("column", "value").agg(F.count_if(F.col("_side") == 0).alias("n_ref"),
                                                  F.count_if(F.col("_side") == 1).alias("n_cur"))
-    cum = running_totals(counts, ["column"], "value", ["n_ref", "n_cur"])
-    tot = counts.groupBy("column").agg(F.sum("n_ref").alias("tot_ref"), F.sum("n_cur").alias("tot_cur"))
-    j = cum.join(tot, "column")
-    stat = j.groupBy("column", "tot_ref", "tot_cur").agg(
-        F.max(F.abs(F.col("cum_n_ref") / F.col("tot_ref") - F.col("cum_n_cur") / F.col("tot_cur"))).alias("ks_statistic"))
-    stat = stat.where((F.col("tot_ref") > 0) & (F.col("tot_cur") > 0))
+    stat = _ks_statistics(counts)
     moments = both.groupBy("column").agg(
         F.avg(F.when(F.col("_side") == 0, F.col("value"))).alias("reference_mean"),
         F.avg(F.when(F.col("_side") == 1, F.col("value"))).alias("current_mean"),

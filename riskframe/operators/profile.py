@@ -256,14 +256,18 @@ def target_analysis(df: DataFrame, target: str = "target") -> DataFrame:
                     F.when((F.col("good") == 0) | (F.col("bad") == 0), "one class missing").alias("warning"))
 
 
-def leakage_correlation(df: DataFrame, target: str = "target", top: int = 10,
-                        threshold: float = 0.9) -> DataFrame:
-    """|pearson(col, target)| per numeric column (pairwise complete), the
-    top ``top`` by value, flagged when > threshold."""
+def target_correlations(df: DataFrame, target: str = "target", threshold: float = 0.9) -> DataFrame:
+    """(column, abs_corr, high): |pearson(col, target)| of every numeric column
+    (pairwise complete; none where a side is constant), high when > threshold."""
     cols = numeric_columns(df, exclude=[target])
     r = one_pass(df, cols, {"abs_corr": lambda c: F.abs(safe_corr(c, col(target)))})
-    return (r.where(F.col("abs_corr").isNotNull()).orderBy(F.desc("abs_corr"), "column").limit(top)
-             .withColumn("high", F.col("abs_corr") > threshold))
+    return r.where(F.col("abs_corr").isNotNull()).withColumn("high", F.col("abs_corr") > threshold)
+
+
+def leakage_correlation(df: DataFrame, target: str = "target", top: int = 10,
+                        threshold: float = 0.9) -> DataFrame:
+    """the top ``top`` of ``target_correlations`` by value."""
+    return target_correlations(df, target, threshold).orderBy(F.desc("abs_corr"), "column").limit(top)
 
 
 def leakage_names(df: DataFrame, target: str = "target") -> DataFrame:
@@ -278,9 +282,10 @@ def leakage_names(df: DataFrame, target: str = "target") -> DataFrame:
 
 
 def leakage_report(df: DataFrame, target: str = "target") -> DataFrame:
-    """counts of duplicate columns, high correlations and suspicious names."""
+    """counts of duplicate columns, high correlations (all of them, not the
+    top of F18) and suspicious names."""
     dups = duplicate_columns(df, exclude=[target]).count()
-    high = leakage_correlation(df, target).where("high").count()
+    high = target_correlations(df, target).where("high").count()
     names = leakage_names(df, target).count()
     return df.sparkSession.createDataFrame(
         [("duplicate_columns", dups), ("high_correlation", high), ("problematic_columns", names)],

@@ -2,10 +2,15 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from ..operators import metrics as K
 from ..operators import monitor as J
+from ..session import ensure_checkpoint_dir
+from ..streaming import drift as W
+from ..streaming import monitors as M
 from . import inputs as I
 from .catalog import register
 
@@ -253,3 +258,34 @@ def monitoring_report(spark, sf_dir):
     perf = K.performance(scored_lines(spark, sf_dir).where(F.col("model") == "discount_tax"))
     bias = J.bias_summary(J.group_bias(_card_predictions(spark, sf_dir), BIAS_ATTRS))
     return J.monitoring_report(drift, perf, bias)
+
+
+# drift over the trailing days of the event stream ------------------------------
+
+STREAM_FEATURES = ["value", "user_id"]
+REFERENCE_DAYS = 14
+
+WINDOW_SQL = """WITH bounds AS (SELECT CAST(min(ts) AS DATE) AS first, CAST(max(ts) AS DATE) AS last FROM events),
+vals AS (""" + "\nUNION ALL\n".join(
+    f"SELECT '{c}' AS feature, CAST({c} AS DOUBLE) AS value, true AS is_ref FROM events, bounds WHERE {c} IS NOT NULL AND CAST(ts AS DATE) < first + {REFERENCE_DAYS} "
+    f"UNION ALL SELECT '{c}', CAST({c} AS DOUBLE), false FROM events, bounds WHERE {c} IS NOT NULL AND CAST(ts AS DATE) > last - 7"
+    for c in STREAM_FEATURES) + """),
+""" + KS_SQL[KS_SQL.index("cnt AS"):]
+
+
+@register("windowed_drift_stream", WINDOW_SQL + """
+SELECT ks.feature, round(d, 6) AS ks_statistic, round(p, 6) AS p_value, p < 0.1 AS drift_detected,
+       round(reference_mean, 6) AS reference_mean, round(current_mean, 6) AS current_mean,
+       round(reference_std, 6) AS reference_std, round(current_std, 6) AS current_std,
+       CAST(n1 AS BIGINT) AS reference_n, CAST(n2 AS BIGINT) AS current_n
+FROM ks JOIN pv ON ks.feature = pv.feature JOIN mom ON ks.feature = mom.feature WHERE n2 >= 100""")
+def windowed_drift_stream(spark, sf_dir):
+    """M7: the last seven days of the event stream against the first fourteen."""
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/drift-{uuid.uuid4().hex[:12]}"
+    W.keep_counts(M.read_table_stream(spark, sf_dir, "events"), path, STREAM_FEATURES)
+    counts = W.kept_counts(spark, path)
+    first = counts.select(F.min("day")).scalar()
+    reference = counts.where(F.col("day") < F.date_add(first, REFERENCE_DAYS)).groupBy("column", "value").agg(F.sum("n").alias("n"))
+    d = W.trailing_drift(counts, reference)
+    return d.select("feature", *[_r(c) for c in ("ks_statistic", "p_value")], "drift_detected",
+                    *[_r(c) for c in ("reference_mean", "current_mean", "reference_std", "current_std")], "reference_n", "current_n")
