@@ -142,7 +142,8 @@ def correlation_matrix(df: DataFrame, columns: Sequence[str], method: str = "pea
     if len(columns) < 2:
         return _none(df)
     values = as_doubles(df, columns, complete=True)
-    return _correlation(values if method == "pearson" else ranked(values), columns)
+    # the ranks are read twice, for their centres and for their products
+    return _correlation(values if method == "pearson" else written(ranked(values)), columns)
 
 
 def pearson_pairs(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:

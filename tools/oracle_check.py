@@ -39,7 +39,7 @@ def kind(dtype) -> str:
 
 
 def norm(v):
-    if v is None or (isinstance(v, float) and math.isnan(v)):
+    if v is None or v is pd.NA or (isinstance(v, float) and math.isnan(v)):
         return None
     if isinstance(v, float):
         return round(v, 6) + 0.0
