@@ -9,10 +9,12 @@ folds are measured by one aggregate each.
 
 from __future__ import annotations
 
+import itertools
 import json
 import time
 import uuid
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor, as_completed
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
@@ -20,9 +22,10 @@ from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.feature import OneHotEncoder, StandardScaler, StringIndexer, TargetEncoder, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..sources.files import _fs
 from .cleaning import with_class_weights
 from .metrics import binary_metrics, model_comparison
 
@@ -33,6 +36,14 @@ LR_MAX_ITER = 1000
 LR_GRID_C = [0.1, 1.0, 10.0]
 RF_TREES, RF_DEPTH = 50, 10
 GBT_ITER, GBT_STEP, GBT_DEPTH = 100, 0.1, 6
+# tuning grids: parameters in order, with the values of each
+GRIDS = {
+    "logistic_regression": {"C": [0.1, 1.0, 10.0], "maxIter": [1000]},
+    "random_forest": {"numTrees": [50, 100], "maxDepth": [10, 15], "minInstancesPerNode": [1, 2]},
+    "random_forest_wide": {"numTrees": [50, 100, 200], "maxDepth": [5, 10, 30], "minInstancesPerNode": [1, 2, 4]},
+    "gradient_boosting": {"maxIter": [100, 200], "maxDepth": [4, 6], "stepSize": [0.05, 0.1]},
+}
+TUNING_FOLDS = 2
 
 
 def _features(numeric: Sequence[str], categorical: Sequence[str], encode: str = "onehot",
@@ -176,6 +187,79 @@ def grid_search(df: DataFrame, kind: str, numeric: Sequence[str], categorical: S
     return cvm.bestModel, res
 
 
+def grid_points(grid: dict[str, Sequence]) -> list[dict]:
+    """Every combination of the grid's values, the last parameter fastest."""
+    return [dict(zip(grid, values)) for values in itertools.product(*grid.values())]
+
+
+def _done(spark: SparkSession, path: str, name: str) -> set[tuple[str, str]]:
+    """(point, fold) of the logged runs of ``name`` that did not fail."""
+    fs, place = _fs(spark, path)
+    if not fs.exists(place):
+        return set()
+    runs = spark.read.schema(RUN_SCHEMA).parquet(path).where((F.col("run_name") == name) & F.col("metrics")["roc_auc"].isNotNull())
+    return {(r["point"], r["fold"]) for r in runs.select(F.col("params")["point"].alias("point"), F.col("params")["fold"].alias("fold")).collect()}
+
+
+def tune(df: DataFrame, kind: str, numeric: Sequence[str], path: str, categorical: Sequence[str] = (), label: str = "label",
+         fold: str = "fold", grid: dict | None = None, parallelism: int = 4, name: str | None = None) -> DataFrame:
+    """K6 through the run table (K17) at ``path``: every point of the grid on every
+    fold is fitted on the other folds and logged with its ROC AUC, a failed one with its error;
+    runs that the table already holds are not repeated, so a broken search goes
+    on where it stopped.  Returns ``tuning_results``."""
+    grid, name = grid or GRIDS[kind], name or f"tune_{kind}"
+    spark = df.sparkSession
+    done = _done(spark, path, name)
+    data = df.persist()
+    try:
+        sizes = {r[fold]: r["count"] for r in data.groupBy(fold).count().collect()}  # a row a fold
+        total = sum(sizes.values())
+
+        def run(point: dict, f) -> tuple[dict, dict]:
+            params = {**point, "point": json.dumps(point), "fold": str(f)}
+            try:
+                model = build_pipeline(kind, numeric, categorical, label, n=total - sizes[f], **point).fit(data.where(F.col(fold) != f))
+                scored = score(model, data.where(F.col(fold) == f), kind, label)
+                auc = binary_metrics(scored, ["model"]).first()["roc_auc"]
+                if auc is None:
+                    raise ValueError("the fold has one class only")
+                return params, {"roc_auc": auc}
+            except Exception as e:  # a failed point is a row of the results
+                return {**params, "error": f"{type(e).__name__}: {e}"[:500]}, {}
+
+        wanted = [(p, f) for p in grid_points(grid) for f in sorted(sizes) if (json.dumps(p), str(f)) not in done]
+        with ThreadPoolExecutor(max_workers=parallelism) as pool:
+            # logged here, one by one as they end: appends to one table must not overlap
+            for ended in as_completed([pool.submit(run, *w) for w in wanted]):
+                log_run(spark, path, name, *ended.result())
+    finally:
+        data.unpersist()
+    return tuning_results(spark.read.schema(RUN_SCHEMA).parquet(path).where(F.col("run_name") == name), list(grid), len(sizes))
+
+
+def tuning_results(runs: DataFrame, grid: Sequence[str], folds: int) -> DataFrame:
+    """params, grid, folds (that succeeded), mean_auc (null unless all did), error
+    (of a fold that never did), rank (by mean_auc, then the point's text); a row a point."""
+    p = F.col("params")
+    latest = runs.groupBy(p["point"].alias("point"), p["fold"].alias("fold")).agg(
+        F.max(F.col("metrics")["roc_auc"]).alias("auc"), F.max(p["error"]).alias("error"), F.first("params").alias("params"))
+    points = latest.groupBy("point").agg(F.first("params").alias("params"), F.count("auc").alias("folds"), F.avg("auc").alias("mean_auc"),
+                                         F.max(F.when(F.col("auc").isNull(), F.col("error"))).alias("error"))
+    names = F.array(*[F.lit(g) for g in grid])
+    shown = points.select("point", F.map_filter("params", lambda k, v: F.array_contains(names, k)).alias("params"), names.alias("grid"), "folds",
+                          F.when(F.col("folds") == folds, F.col("mean_auc")).alias("mean_auc"), "error")
+    w = Window.partitionBy(F.lit(0)).orderBy(F.desc_nulls_last("mean_auc"), "point")  # as many rows as the grid has points
+    return shown.withColumn("rank", F.row_number().over(w))
+
+
+def best_point(results: DataFrame) -> dict:
+    """The parameters of the best point that every fold has scored."""
+    row = results.where(F.col("mean_auc").isNotNull()).orderBy("rank").first()
+    if row is None:
+        raise RuntimeError("no point of the grid succeeded on all folds")
+    return json.loads(row["point"])
+
+
 def param_importance(results: DataFrame, limit: int = 6) -> DataFrame:
     """Per parameter, max − min of the mean score over its values, for the
     first ``limit`` parameters in grid order."""

@@ -108,3 +108,16 @@ def saved_model_cards(spark, sf_dir):
     save_models(models, folder)
     scored = MS.score_card_applications(cards, *MS.load_picked(spark, folder))
     return scored.groupBy("prediction", "confidence", "model_version").agg(F.count(F.lit(1)).alias("n"), F.round(F.avg("risk_score"), 4).alias("avg_risk"))
+
+
+@register("tuning_runs_cards")
+def tuning_runs_cards(spark, sf_dir):
+    """The regression's grid on two folds through the run table, searched
+    twice: the second search finds every run and adds none."""
+    cards, _ = MS.split_cards(I.card_applications(spark, sf_dir))
+    rows = cards.withColumns({c: F.col(c).cast("string") for c in MS.CARD_CODES}).withColumn("label", F.col("target").cast("double"))
+    folds = D.stratified_folds(rows, ["app_id"], "label", k=ML.TUNING_FOLDS, seed=42).checkpoint()
+    path = f"{_model_folder(spark)}-runs"
+    for _ in range(2):
+        results = ML.tune(folds, "logistic_regression", MS.CARD_NUMERIC, path, MS.CARD_CODES)
+    return results.select("point", "folds", F.round("mean_auc", 6).alias("mean_auc"), "rank").withColumn("runs", F.lit(spark.read.parquet(path).count()))
