@@ -125,6 +125,14 @@ def prediction_metrics_hourly(spark, sf_dir):
     return M.finish_metrics(M.prediction_metrics(log, "ts", "1 hour"))
 
 
+@register("prediction_metrics_last_days", METRICS_SQL.replace(
+    "FROM prediction_log GROUP BY 1", "FROM prediction_log WHERE ts >= (SELECT max(ts) FROM prediction_log) - INTERVAL 48 HOUR GROUP BY 1"))
+def prediction_metrics_last_days(spark, sf_dir):
+    """M1 with a look-back of 48 hours."""
+    log = M.look_back(I.prediction_log(spark, sf_dir), 48)
+    return M.finish_metrics(M.prediction_metrics(log, "ts", "1 hour"))
+
+
 @register("prediction_metrics_stream", METRICS_SQL)
 def prediction_metrics_stream(spark, sf_dir):
     """M1 as Structured Streaming (watermark 10 min, availableNow); equals batch

@@ -40,6 +40,14 @@ def prediction_metrics(log: DataFrame, ts: str = "ts", window: str = "1 hour") -
         F.count_if("is_error").alias("errors"))
 
 
+def look_back(log: DataFrame, hours: int = 24, ts: str = "ts") -> DataFrame:
+    """The log's last ``hours`` (1 to 168), counted from its newest row."""
+    if not 1 <= hours <= 168:
+        raise ValueError(f"hours must be between 1 and 168, not {hours}")
+    last = log.select(F.max(col(ts))).scalar()  # one number, found by Spark as a subquery
+    return log.where(col(ts) >= last - F.make_interval(hours=F.lit(hours)))
+
+
 def finish_metrics(agg: DataFrame) -> DataFrame:
     """Flatten the window struct to a text start and derive the rates."""
     return agg.select(F.date_format("w.start", "yyyy-MM-dd HH:mm:ss").alias("window_start"), "total",

@@ -141,3 +141,12 @@ def test_gauges_need_a_sample_in_every_step(spark):
     assert firing == ["08:00"]
     with pytest.raises(ValueError):
         A.gauge_windows(got, 1.0, length="2 hours")
+
+
+def test_look_back_keeps_its_hours(spark):
+    log = spark.createDataFrame([(T0 + dt.timedelta(hours=h), "a", False, 1.0) for h in range(50)], LOG)
+    assert M.look_back(log, 1).count() == 2 and M.look_back(log, 168).count() == 50
+    assert M.look_back(log.limit(0)).count() == 0
+    for hours in (0, 169):
+        with pytest.raises(ValueError):
+            M.look_back(log, hours)
