@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators import series as H
+from ..operators import stl as S
 from ..streaming import monitors as M
 from . import inputs as I
 from .catalog import register
@@ -109,6 +110,13 @@ def decompose_hourly_events(spark, sf_dir):
     return d.select(*[_r(c) for c in d.columns])
 
 
+@register("stl_events")
+def stl_events(spark, sf_dir):
+    """H2 (STL, period 12) of event values in time order, summed up."""
+    d = H.decomposition_summary(S.stl(I.table(spark, sf_dir, "events"), ["ts", "event_id"], "value"))
+    return d.select(*[_r(c) for c in d.columns])
+
+
 METRICS_SQL = I.with_ctes(I.PREDICTION_LOG_SQL) + """
 SELECT strftime(date_trunc('hour', ts), '%Y-%m-%d %H:%M:%S') AS window_start, count(*) AS total,
        round(count(*) FILTER (WHERE prediction = 0) * 1.0 / count(*), 6) AS approval_rate,
