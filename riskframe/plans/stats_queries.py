@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from ..operators import quality as Q
 from ..operators import correlation as C
+from ..operators import phik as P
 from ..operators import stats as S
 from . import inputs as I
 from .catalog import register
@@ -389,3 +390,18 @@ def kde_peak_lines(spark, sf_dir):
     """F8: KDE mode of quantity and discount (exact: values compressed to counts)."""
     k = S.kde_peak(I.loan_table(spark, sf_dir), KDE_COLS, bins=None)
     return k.select("column", _r("peak"), _r("peak_density"))
+
+
+# --------------------------------------------------------------------------- G7
+
+@register("phik_lines")
+def phik_lines(spark, sf_dir):
+    """phi_K of all column pairs of the loan table (its keys have too many
+    levels at size and are listed as not compared where they are text)."""
+    return P.phik_matrix(I.loan_table(spark, sf_dir)).select("var1", "var2", "rows", "levels1", "levels2", _r("phi_k", 4))
+
+
+@register("phik_applications")
+def phik_applications(spark, sf_dir):
+    """Pairs of application columns with phi_K of 0.5 or more, with their label."""
+    return P.phik(labelled_applications(spark, sf_dir))
