@@ -89,7 +89,9 @@ def posteriors(docs: DataFrame, domains: list[str], weights: DataFrame, text: st
     tokens are those of one copy."""
     h1, h2 = _hashes(text)
     unseen = [F.lit(0.0)] * len(domains)  # a bucket that no labelled text has says nothing
-    words = (docs.where(F.col(f"`{text}`").isNotNull()).select(h1, h2, _words(F.col(f"`{text}`")).alias("word")).where("word <> ''")
+    # hashed before the words are taken apart: once for each text, not for each word
+    texts = docs.where(F.col(f"`{text}`").isNotNull()).select(h1, h2, F.col(f"`{text}`").alias("text"))
+    words = (texts.select("h1", "h2", _words(F.col("text")).alias("word")).where("word <> ''")
              .select("h1", "h2", _bucket(F.col("word")).alias("bucket")))
     # weights: a bounded number of buckets
     scored = words.join(F.broadcast(weights), "bucket", "left").groupBy("h1", "h2").agg(
