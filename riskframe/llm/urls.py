@@ -10,6 +10,12 @@ pages are all blocked.  Rounds go on until no host's verdict can change any more
 scores only grow, a round hands on at most ``DAMPING`` of the last round's growth,
 so the growth of all scores in a round bounds what any may still gain.
 
+Before the rounds, hosts with a single neighbour (most hosts, where few pages
+link elsewhere) are solved for: a leaf's score is its seed and what its hub hands
+it, which put into the hub's equation leaves an equation without the leaf.  The
+hub's score divided by what it gets back of itself, and each leaf's from its
+hub's, follow after the rounds.  Of no host does the rest hand on more than ``DAMPING``, as before.
+
 Edges of the host graph are the absolute links of each page and, with weight
 ``OWNER``, those between a host and the host above it (``a.b.c`` and ``b.c``),
 in both directions, for hosts above with at least two labels.
@@ -37,6 +43,8 @@ TOLERANCE = 1e-4
 EXACT = 5e-10
 #: rounds between two checkpoints
 CUT = 4
+#: passes that solve for leaves (a pass may make new ones)
+LEAF_PASSES = 3
 BLOCK_AT = 0.5
 OWNER = 0.5
 
@@ -91,6 +99,41 @@ def open_verdicts(score: DataFrame, more_trust: float, more_distrust: float) ->
     return bool(score.where(blocked(t, d + more_distrust) & ~blocked(t + more_trust, d)).limit(1).count())
 
 
+def without_leaves(seeds: DataFrame, moves: DataFrame):
+    """(seeds, moves, back) of the graph without its hosts of a single neighbour, or
+    None where there are none; ``back`` makes scores of the whole graph from those
+    of the rest.  Of two hosts that have only each other the smaller one stays."""
+    pairs = moves.select("host", "to").union(moves.select("to", "host"))
+    single = pairs.groupBy("host").agg(F.min("to").alias("hub"), F.max("to").alias("far")).where("hub = far").select("host", "hub")
+    other = single.select(F.col("host").alias("hub"), F.lit(True).alias("also"))
+    single = single.join(other, "hub", "left").where(F.col("also").isNull() | (F.col("host") > F.col("hub")))
+    up = moves.select("host", F.col("to").alias("hub"), F.col("t").alias("up_t"), F.col("d").alias("up_d"))
+    down = moves.select(F.col("host").alias("hub"), F.col("to").alias("host"), F.col("t").alias("down_t"), F.col("d").alias("down_d"))
+    legs = (single.select("host", "hub").join(up, ["host", "hub"], "left").join(down, ["host", "hub"], "left")
+            .join(seeds, "host", "left").fillna(0.0).checkpoint())
+    if not legs.limit(1).count():
+        return None
+    # what a hub gets from its leaves' seeds, and of its own score by way of them
+    hubs = legs.groupBy("hub").agg(F.sum(F.col("up_t") * F.col("trust")).alias("trust"), F.sum(F.col("up_d") * F.col("distrust")).alias("distrust"),
+                                   F.sum(F.col("up_t") * F.col("down_t")).alias("own_t"), F.sum(F.col("up_d") * F.col("down_d")).alias("own_d")).checkpoint()
+    gone = legs.select("host")
+    rest = seeds.join(gone, "host", "left_anti").union(hubs.select("hub", "trust", "distrust")).groupBy("host").agg(
+        F.sum("trust").alias("trust"), F.sum("distrust").alias("distrust"))
+    own = hubs.select(F.col("hub").alias("host"), "own_t", "own_d")
+    kept = (moves.join(gone, "host", "left_anti").join(gone.select(F.col("host").alias("to")), "to", "left_anti").join(own, "host", "left")
+            .select("host", "to", (F.col("t") / (1 - F.coalesce("own_t", F.lit(0.0)))).alias("t"), (F.col("d") / (1 - F.coalesce("own_d", F.lit(0.0)))).alias("d")))
+
+    def back(score: DataFrame) -> DataFrame:
+        whole = score.join(own, "host", "left").select("host", (F.col("trust") / (1 - F.coalesce("own_t", F.lit(0.0)))).alias("trust"),
+                                                       (F.col("distrust") / (1 - F.coalesce("own_d", F.lit(0.0)))).alias("distrust"))
+        hub = whole.select(F.col("host").alias("hub"), F.col("trust").alias("hub_t"), F.col("distrust").alias("hub_d"))
+        leaves = legs.join(hub, "hub", "left").fillna(0.0).select(
+            "host", (F.col("trust") + F.col("down_t") * F.col("hub_t")).alias("trust"), (F.col("distrust") + F.col("down_d") * F.col("hub_d")).alias("distrust"))
+        return whole.union(leaves)
+
+    return rest.checkpoint(), kept.checkpoint(), back
+
+
 def host_scores(pages: DataFrame) -> DataFrame:
     """(host, trust, distrust) from pages with host, html and rule verdict."""
     seeds = pages.groupBy("host").agg(
@@ -106,7 +149,25 @@ def host_scores(pages: DataFrame) -> DataFrame:
     moves = (edges.join(out, "src").select(F.col("src").alias("host"), F.col("dst").alias("to"),
                                            (DAMPING * F.col("weight") / F.col("total")).alias("t"), F.lit(0.0).alias("d"))
              .union(edges.join(into, "dst").select("dst", "src", F.lit(0.0), DAMPING * F.col("weight") / F.col("total")))
-             .groupBy("host", "to").agg(F.sum("t").alias("t"), F.sum("d").alias("d")).repartition("host").persist())
+             .groupBy("host", "to").agg(F.sum("t").alias("t"), F.sum("d").alias("d")).checkpoint())
+    backs = []
+    for _ in range(LEAF_PASSES):
+        smaller = without_leaves(seeds, moves)
+        if smaller is None:
+            break
+        seeds, moves, back = smaller
+        backs.append(back)
+
+    def whole(score: DataFrame) -> DataFrame:
+        for back in reversed(backs):
+            score = back(score)
+        return score
+
+    if not moves.limit(1).count():
+        return whole(seeds)
+    # a hub's score grows by so much more than the sum it is divided from, at most
+    wider = (1 - DAMPING ** 2) ** -len(backs)
+    moves = moves.repartition("host").persist()
     score = seeds
     for turn in range(1, ROUNDS + 1):
         # moves stay where their host is, so a round has one exchange: that of the sums
@@ -118,13 +179,15 @@ def host_scores(pages: DataFrame) -> DataFrame:
             grown = score.join(last.select("host", F.col("trust").alias("t0"), F.col("distrust").alias("d0")), "host", "left").select(
                 "trust", "distrust", (F.col("trust") - F.coalesce("t0", F.lit(0.0))).alias("t"), (F.col("distrust") - F.coalesce("d0", F.lit(0.0))).alias("d"))
             change, t, d = grown.agg(F.max(F.greatest(F.abs("t"), F.abs("d"))), F.sum(F.abs("t")), F.sum(F.abs("d"))).first()
-            past = DAMPING / (1 - DAMPING)
-            if change is None or past * max(t, d) < EXACT or (change < TOLERANCE and not open_verdicts(score, past * t, past * d)):
+            past = wider * DAMPING / (1 - DAMPING)
+            if change is None or past * max(t, d) < EXACT or (wider * change < TOLERANCE and not open_verdicts(whole(score), past * t, past * d)):
                 break
         else:
             score = new
+    else:
+        raise RuntimeError(f"verdicts are open after {ROUNDS} rounds")
     moves.unpersist()
-    return score
+    return whole(score)
 
 
 def judge(pages: DataFrame, rules: list[tuple[str, str]]) -> DataFrame:
