@@ -6,6 +6,8 @@ import os
 import shutil
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 from pathlib import Path
 
 import numpy as np
@@ -40,6 +42,25 @@ def prepare(spark: SparkSession) -> None:
     sc.addPyFile(shutil.make_archive(str(base), "zip", root_dir=ROOT, base_dir="riskframe"))
 
 
+SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+@contextmanager
+def finished_shuffles_removed(spark: SparkSession) -> Iterator[None]:
+    """Queries built inside remove their shuffle files when they end.
+
+    For iterations of checkpoints: each step reads the step before it from its
+    checkpoint, so the shuffle files of ended steps only fill the disks.  The
+    session's own setting comes back afterwards.
+    """
+    before = spark.conf.get(SHUFFLE_CLEANUP, "false")
+    spark.conf.set(SHUFFLE_CLEANUP, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(SHUFFLE_CLEANUP, before)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

@@ -38,10 +38,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from riskframe.llm.common import MAX_LONG, mixed, prepare, shingle_hashes, slices_by_size, table, word_hashes
+from riskframe.llm.common import (MAX_LONG, finished_shuffles_removed, mixed, prepare, shingle_hashes, slices_by_size, table,
+                                  word_hashes)
 
 WORDS = 5
 SIMILARITY = 0.8
@@ -183,8 +184,13 @@ def bucket_rows(nodes: DataFrame) -> DataFrame:
     spread = nodes.where(F.col("sketch").isNotNull()).select("node", F.explode(each).alias("e")).select(
         "node", F.col("e.j").cast("short").alias("j"), F.xxhash64("e.key", "e.j").alias("key"))
 
-    shared = spread.withColumn("size", F.count("*").over(Window.partitionBy("key"))).where("size > 1")
-    return shared.join(nodes.select("node", "id", "n", "sketch"), "node")
+    return sized(spread).join(nodes.select("node", "id", "n", "sketch"), "node")
+
+
+def sized(rows: DataFrame) -> DataFrame:
+    """``rows`` with the number of rows of their key.  Counts are summed before they are
+    exchanged and joined back, so that the rows of a hot key may lie in several tasks."""
+    return rows.join(rows.groupBy("key").agg(F.count("*").alias("size")).where("size > 1"), "key")
 
 
 def links_of_few(nodes: DataFrame) -> DataFrame:
@@ -307,7 +313,7 @@ def _meetings(marked: DataFrame) -> DataFrame:
     later = F.explode(F.sequence(F.col("j") + 1, F.lit(SKETCHES - 1)).cast("array<int>"))
     dealt = large.where(F.col("j") < SKETCHES - 1).withColumn("k", later).withColumn(
         "key", F.xxhash64("key", "k", F.expr("substring(sketch, k * 8 + 1, 8)"))).drop("k")
-    dealt = _several(dealt.withColumn("size", F.count("*").over(Window.partitionBy("key"))).where("size > 1"))
+    dealt = _several(sized(dealt.drop("size")))
     count = F.ceil(F.col("size") / F.lit(BLOCK)).cast("long")
     own = F.pmod(F.xxhash64("node"), count)
     dealt = dealt.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), count - 1)))
@@ -338,18 +344,21 @@ def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
 
 
 def components(links: DataFrame) -> DataFrame:
-    """(node, label): the smallest node of each linked node's component."""
-    edges = links.select("a", "b").union(links.select("b", "a")).distinct().checkpoint()
-    label = edges.groupBy(F.col("a").alias("node")).agg(F.least(F.min("b"), F.first("a")).alias("label")).checkpoint()
+    """(node, label): the smallest node of each linked node's component.
+
+    Each round takes the smallest label among a node and its neighbours (each node
+    is its own neighbour too, which also keeps the label it had), then that label's label.
+    """
+    loops = links.select("a", F.col("a").alias("b")).union(links.select(F.col("b").alias("a"), "b"))
+    edges = links.select("a", "b").union(links.select("b", "a")).union(loops).distinct().checkpoint()
+    label = edges.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("label")).checkpoint()
     while True:
-        near = edges.join(label, edges["b"] == label["node"]).groupBy("a").agg(F.min("label").alias("near"))
-        step = label.join(near, label["node"] == near["a"]).select("node", F.least("label", "near").alias("label"))
-        jump = step.alias("s").join(step.select(F.col("node").alias("n2"), F.col("label").alias("l2")).alias("t"),
-                                    F.col("s.label") == F.col("n2"), "left").select("node", F.least("label", F.coalesce("l2", "label")).alias("label"))
-        new = jump.checkpoint()
-        moved = new.join(label.select("node", F.col("label").alias("old")), "node").where("label <> old").limit(1).count()
-        label = new
-        if not moved:
+        near = edges.join(label, edges["b"] == label["node"]).groupBy("a").agg(
+            F.min("label").alias("least"), F.min(F.when(F.col("a") == F.col("b"), F.col("label"))).alias("old"))
+        goal = near.select(F.col("a").alias("least"), F.col("least").alias("label"))
+        new = near.join(goal, "least").select(F.col("a").alias("node"), "label", "old").checkpoint()
+        label = new.select("node", "label")
+        if not new.where("label <> old").limit(1).count():
             return label
 
 
@@ -358,6 +367,11 @@ def classes(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFra
     smallest key; the smallest key of its class, the hash of the text that has it
     (of several the smallest hash) and whether this is that text, its class's head;
     the links of the text that were needed to find the class."""
+    with finished_shuffles_removed(docs.sparkSession):
+        return _classes(docs, key, text)
+
+
+def _classes(docs: DataFrame, key: str, text: str) -> DataFrame:
     nodes = nodes_of(docs, key, text)
     rows = bucket_rows(nodes).checkpoint()
     # buckets of two: the smaller key leads
@@ -380,7 +394,7 @@ def classes(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFra
             break
         heads = got.where("a = b").select("key", F.col("a").alias("node"))
 
-        again = again.drop("size").join(heads, ["key", "node"]).withColumn("size", F.count("*").over(Window.partitionBy("key")))
+        again = sized(again.drop("size").join(heads, ["key", "node"]))
         before, after = at.where(F.col("size") > BLOCK).count(), again.count()
         if after > 0.7 * before:  # texts that differ and share a sketch: leaders no longer thin them out
             break
