@@ -18,33 +18,51 @@ rows are fingerprinted one by one; very long texts are read whole.
 from __future__ import annotations
 
 import hashlib
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark.ml.feature import Bucketizer
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from riskframe.llm.common import (MAX_LONG, mixed, prepare, shingle_hashes, shuffle_width, slices_by_size, table,
-                                  word_hashes)
+from riskframe.llm.common import mixed, prepare, shingle_hashes, shuffle_width, slices_by_size, table, word_hashes
 
 SAMPLES = 64
 WORDS = 5
 #: characters and terms handled at once
 SLICE = 400_000
 TERMS = 4_096
+#: place of rows without an id: the last one
+NO_ID = -(1 << 63)
 
 
-def _uniform(x: np.ndarray, salt: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Two numbers in (0, 1) for each (term, sample), from one 64-bit hash."""
-    h = (x[:, None] ^ salt[None, :]) * np.uint64(0xBF58476D1CE4E5B9)
+def _hashes(x: np.ndarray, salt: np.ndarray) -> np.ndarray:
+    h = x[:, None] ^ salt[None, :]
+    h *= np.uint64(0xBF58476D1CE4E5B9)
     h ^= h >> np.uint64(31)
-    scale = np.float32(2.0 ** -31)
-    one = (h >> np.uint64(33)).astype(np.float32)
-    two = (h & np.uint64(0x7FFFFFFF)).astype(np.float32)
-    return (one + np.float32(0.5)) * scale, (two + np.float32(0.5)) * scale
+    return h
+
+
+def _unit(h: np.ndarray) -> np.ndarray:
+    """31-bit values as numbers in (0, 1)."""
+    u = h.astype(np.float32)
+    u += np.float32(0.5)
+    u *= np.float32(2.0 ** -31)
+    return u
+
+
+def _gamma(x: np.ndarray, salt: np.ndarray) -> np.ndarray:
+    """Gamma(2, 1) for each (term, sample): minus the logarithm of two uniform numbers from one 64-bit hash."""
+    h = _hashes(x, salt)
+    u = _unit(h & np.uint64(0x7FFFFFFF))
+    h >>= np.uint64(33)
+    u *= _unit(h)
+    np.maximum(u, np.float32(1e-37), out=u)
+    np.log(u, out=u)
+    return np.negative(u, out=u)
 
 
 def _salts(samples: int) -> list[np.ndarray]:
@@ -53,16 +71,18 @@ def _salts(samples: int) -> list[np.ndarray]:
 
 
 def sample_values(terms: np.ndarray, weights: np.ndarray, samples: int = SAMPLES) -> tuple[np.ndarray, np.ndarray]:
-    """(ln a, t) for each term and sample."""
+    """(ln a, t) for each term and sample; t is 0 wherever the weight is 1."""
     salts = _salts(samples)
-    u1, u2 = _uniform(terms, salts[0])
-    u3, u4 = _uniform(terms, salts[1])
-    beta, _ = _uniform(terms, salts[2])
-    r = -np.log(np.maximum(u1 * u2, np.float32(1e-37)))
-    c = -np.log(np.maximum(u3 * u4, np.float32(1e-37)))
-    lw = np.log(weights.astype(np.float32))[:, None]
-    t = np.floor(lw / r + beta)
-    return np.log(c) - r * (t - beta) - r, t
+    r, c = _gamma(terms, salts[0]), _gamma(terms, salts[1])
+    beta = _unit(_hashes(terms, salts[2]) >> np.uint64(33))
+    t = np.zeros_like(beta)
+    many = np.flatnonzero(weights > 1)
+    if len(many):
+        t[many] = np.floor(np.log(weights[many].astype(np.float32))[:, None] / r[many] + beta[many])
+    ln_a = np.log(c, out=c)
+    ln_a -= r * (t - beta)
+    ln_a -= r
+    return ln_a, t
 
 
 def signatures(texts: list[str], samples: int = SAMPLES, k: int = WORDS) -> np.ndarray:
@@ -84,18 +104,17 @@ def signatures(texts: list[str], samples: int = SAMPLES, k: int = WORDS) -> np.n
     _, first, inv = np.unique(pair, return_index=True, return_inverse=True)
     px, pw = x[first], w[first]
     ln_a = np.empty((len(px), samples), np.float32)
-    value = np.empty((len(px), samples), np.uint32)
+    level = np.empty((len(px), samples), np.float32)
     for b in range(0, len(px), TERMS):
-        a, t = sample_values(px[b:b + TERMS], pw[b:b + TERMS], samples)
-        ln_a[b:b + TERMS] = a
-        code = (px[b:b + TERMS, None] ^ (t.astype(np.int64).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))) >> np.uint64(32)
-        value[b:b + TERMS] = code.astype(np.uint32)
+        ln_a[b:b + TERMS], level[b:b + TERMS] = sample_values(px[b:b + TERMS], pw[b:b + TERMS], samples)
     starts = np.flatnonzero(np.append(True, d[1:] != d[:-1]))
     ends = np.append(starts[1:], len(d))
     cols = np.arange(samples)
     for s, e, i in zip(starts.tolist(), ends.tolist(), d[starts].tolist()):
         rows = inv[s:e]
-        out[i] = value[rows[ln_a[rows].argmin(axis=0)], cols]
+        won = rows[ln_a[rows].argmin(axis=0)]
+        t = level[won, cols].astype(np.int64).astype(np.uint64)
+        out[i] = ((px[won] ^ (t * np.uint64(0x9E3779B97F4A7C15))) >> np.uint64(32)).astype(np.uint32)
     return out
 
 
@@ -130,38 +149,58 @@ def edited(text: str, nxt: str) -> str:
     return text[: len(text) - half] + nxt[:half]
 
 
-def in_blocks(docs: DataFrame, blocks: int) -> DataFrame:
-    """doc_id, text and block: ``blocks`` runs of the order by descending
-    doc_id (null last), each run followed by the first document of the next
+def _text_place(text: Column) -> Column:
+    """The first six bytes of a text as a number that orders texts as they do."""
+    return F.conv(F.rpad(F.hex(F.substring(F.encode(text, "utf-8"), 1, 6)), 12, "0"), 16, 10).cast("long")
+
+
+def in_blocks(docs: DataFrame, blocks: int) -> tuple[DataFrame, int]:
+    """doc_id, text and block, and the number of blocks: about ``blocks`` runs of the order by descending
+    doc_id (null last) and text, each run followed by the first document of the next
     (marked ``extra``), the last run by the first document of all.
 
-    Borders are quantiles of doc_id; of the documents only each run's first
-    goes to two runs.
+    Borders are quantiles of doc_id.  An id that more than one of them meets (null, or an
+    id that very many rows repeat) is cut into runs of its own at quantiles of its texts'
+    first bytes; texts that begin alike in them stay together.  Of the documents only
+    each run's first goes to two runs (and rows that repeat its id, or of an id cut
+    into runs its id and text).
     """
-    key = F.coalesce(F.col("doc_id").cast("long"), F.lit(-MAX_LONG))
-    borders = []
-    if blocks > 1:
-        found = docs.select(F.percentile_approx(F.col("doc_id").cast("long"), [i / blocks for i in range(1, blocks)],
-                                                100 * blocks)).first()[0]
-        borders = sorted({float(b) for b in found or []})
-    # runs are counted from the highest ids; equal ids share a run
-    def with_run(df: DataFrame) -> DataFrame:
-        if not borders:
-            return df.withColumn("run", F.lit(0))
-        cut = Bucketizer(splits=[-float("inf"), *borders, float("inf")], inputCol="at", outputCol="bucket", handleInvalid="keep")
-        return cut.transform(df.withColumn("at", F.col("key").cast("double"))).withColumn(
-            "run", (F.lit(len(borders)) - F.col("bucket")).cast("int")).drop("at", "bucket")
-
-    rows = with_run(docs.select(key.alias("key"), "doc_id", F.coalesce("text", F.lit("")).alias("text")))
-    tops = with_run(docs.select(key.alias("key"))).groupBy("run").agg(F.max("key").alias("top")).orderBy("run").collect()
-    # at most ``blocks`` rows: the first id of each run also goes to the run before (the first of all to the last run)
-    moves = [(tops[i]["top"], tops[i - 1]["run"]) for i in range(len(tops))]
-    goes = docs.sparkSession.createDataFrame(moves, "key long, goes_to int")
-    one = F.struct(F.col("run").alias("block"), F.lit(False).alias("extra"))
-    copies = F.when(F.col("goes_to").isNull(), F.array(one)).otherwise(
-        F.array(one, F.struct(F.col("goes_to").alias("block"), F.lit(True).alias("extra"))))
-    return rows.join(F.broadcast(goes), "key", "left").select("key", "doc_id", "text", F.explode(copies).alias("c")).select(
-        "key", "doc_id", "text", "c.block", "c.extra")
+    spark = docs.sparkSession
+    key = F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID))
+    rows = docs.select(key.alias("key"), "doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    cuts = [] if blocks < 2 else rows.select(
+        F.percentile_approx("key", [i / blocks for i in range(1, blocks)], 100 * blocks)).first()[0] or []
+    # quantiles are found in double precision: exact for these ids and for no id
+    often = {k: n for k, n in Counter(cuts).items() if n > 1 and (abs(k) <= 1 << 53 or k == NO_ID)}
+    splits = [-float("inf"), *sorted({float(c) for c in cuts}), float("inf")]
+    place = _text_place(F.col("text"))
+    sub = F.lit(0)
+    if often:
+        inside = rows.where(F.col("key").isin(list(often))).select(
+            *[F.percentile_approx(F.when(F.col("key") == k, place), [i / n for i in range(1, n)], 100 * n) for k, n in often.items()])
+        for k, borders in zip(often, inside.first()):
+            borders = F.array(*[F.lit(c).cast("long") for c in sorted(set(borders or []))]).cast("array<long>")
+            sub = F.when(F.col("key") == k, 1 + F.size(F.filter(borders, lambda c: c <= place))).otherwise(sub)
+
+    def with_run(df: DataFrame) -> DataFrame:  # parts are counted from the highest ids
+        at = df.withColumn("at", F.col("key").cast("double"))
+        cut = Bucketizer(splits=splits, inputCol="at", outputCol="bucket", handleInvalid="keep")
+        return (cut.transform(at) if cuts else at.withColumn("bucket", F.lit(0))).select(
+            (-F.col("bucket")).cast("int").alias("part"), sub.cast("int").alias("sub"), *df.columns)
+
+    firsts = with_run(rows if often else rows.select("key")).groupBy("part", "sub").agg(
+        F.max("key").alias("top"), *([F.min(F.when(F.col("key").isin(list(often)), F.col("text"))).alias("text")] if often else []))
+    tops = firsts.select("part", "sub", "top", (F.when(F.col("sub") > 0, F.xxhash64("text")) if often else F.lit(None).cast("long"))
+                         .alias("first")).orderBy("part", "sub").collect()
+    # at most two rows for each block: the first of each run also goes to the run before (the first of all to the last run)
+    count = len(tops)
+    runs = spark.createDataFrame([(t["part"], t["sub"], i, t["top"], t["first"], (i - 1) % count) for i, t in enumerate(tops)],
+                                 "part int, sub int, block int, top long, first long, goes_to int")
+    goes = (F.col("key") == F.col("top")) & (F.col("first").isNull() | (F.xxhash64("text") == F.col("first")))
+    own = F.struct("block", F.lit(False).alias("extra"))
+    copies = F.when(goes, F.array(own, F.struct(F.col("goes_to").alias("block"), F.lit(True).alias("extra")))).otherwise(F.array(own))
+    spread = with_run(rows).join(F.broadcast(runs), ["part", "sub"]).select("key", "doc_id", "text", F.explode(copies).alias("c"))
+    return spread.select("key", "doc_id", "text", "c.block", "c.extra"), count
 
 
 OUT = [("doc_id", pa.int64()), ("n_chars", pa.int64()), ("edited_sha256", pa.string()), ("fingerprint", pa.string()),
@@ -199,13 +238,14 @@ def compare_with_next(docs: DataFrame, blocks: int) -> DataFrame:
                 [likeness(sig[i], sig[j], some[i], some[j]) for i, j in pairs]]
         return pa.RecordBatch.from_arrays([pa.array(c, t) for c, (_, t) in zip(cols, OUT)], names=[x for x, _ in OUT])
 
-    spread = in_blocks(docs, blocks)
+    spread, count = in_blocks(docs, blocks)
     schema = "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double"
-    return (spread.repartition(shuffle_width(docs.sparkSession), "block")
+    # a run is a partition of its own
+    return (spread.repartitionById(max(count, 1), F.col("block"))
             .sortWithinPartitions("block", "extra", F.desc("key"), "text").mapInArrow(compared, schema))
 
 
 def op2_document_fingerprints(spark, sf_dir: str) -> DataFrame:
     prepare(spark)
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return compare_with_next(docs, 4 * shuffle_width(spark))
+    return compare_with_next(docs, 2 * shuffle_width(spark))
