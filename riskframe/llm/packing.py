@@ -8,6 +8,8 @@ smallest (a new bin counts as a place too; ties go to the smallest gap left),
 long pieces first.
 The pieces of bins that stay open are dealt into fewer blocks and packed again
 until one block is left, so that blocks cost no more open bins than one block.
+A block never grows: a bin closes when its gap is under the shortest piece still
+open, and after a round that closed few bins twice as wide a gap counts as closed.
 
 Results for odd input: a null or empty text is the end id alone; rows are
 packed one by one, so repeated rows and null or repeated keys are all placed;
@@ -37,6 +39,8 @@ TOKENIZER = "word_bpe_49k.json"
 BLOCK = 16_384
 #: a bin with at most so many free places counts as closed between the rounds
 CLOSED = 4
+#: a round that leaves more than this share of the pieces doubles the free places of a closed bin
+FEW_CLOSE = 0.7
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 PIECE_TYPES = (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64())
@@ -109,22 +113,26 @@ def pack(cut: DataFrame, capacity: int = CAPACITY, block_rows: int = BLOCK) -> D
     rows = cut.select(F.monotonically_increasing_id().alias("rid"), "*").checkpoint()
     full = rows.where(F.col("length") >= capacity).select(
         "*", (-F.col("rid") - 1).alias("sequence_id"), F.lit(0).cast("long").alias("offset"))
-    done, rest, turn = full, rows.where(F.col("length") < capacity), 0
+    done, rest, turn, closed = full, rows.where(F.col("length") < capacity), 0, CLOSED
     count = rest.count()
     while count:
         blocks = -(-count // block_rows)
         placed = (rest.withColumn("block", F.pmod(F.xxhash64("rid", F.lit(turn)), F.lit(blocks)))
                   .groupBy("block").applyInArrow(lambda rows: _packed(rows, capacity), PLACED).checkpoint())
-        settled = placed if blocks == 1 else placed.where(F.col("fill") >= capacity - CLOSED)
+        if blocks > 1:
+            is_open = F.col("fill") < capacity - closed
+            # no piece that is still open fits into a gap under the shortest of them
+            shortest = placed.where(is_open).agg(F.min("length")).first()[0] or 0
+            is_open &= F.col("fill") <= capacity - shortest
+        else:
+            is_open = F.lit(False)
         # unique for each (round, block, bin); a block holds far fewer than 2^24 bins
         number = F.lit(turn).cast("long") * F.lit(1 << 56) + F.col("block") * F.lit(1 << 24) + F.col("bin")
-        done = done.unionByName(settled.select(*rows.columns, number.alias("sequence_id"), "offset"))
-        if blocks == 1:
-            break
-        rest = placed.where(F.col("fill") < capacity - CLOSED).select(*rows.columns)
+        done = done.unionByName(placed.where(~is_open).select(*rows.columns, number.alias("sequence_id"), "offset"))
+        rest = placed.where(is_open).select(*rows.columns)
         left = rest.count()
-        # where little closes, larger blocks still come to an end
-        block_rows = block_rows if left < 0.7 * count else 2 * block_rows
+        if left > FEW_CLOSE * count:
+            closed *= 2
         count, turn = left, turn + 1
     return done.drop("rid")
 
