@@ -188,3 +188,35 @@ def test_parts_are_balanced(vectors):
     x = vectors[:1000]
     part = neighbours.balanced_parts(neighbours.neighbour_graph(x, 8), 8)
     assert set(np.bincount(part, minlength=8)) <= {125}
+
+
+def test_rows_without_ids_are_cut_into_runs(spark):
+    """Null ids and a repeated id on two thirds of the rows: many runs, the same neighbours as in one."""
+    texts = [f"{chr(97 + i % 26)}{i} some words of text number {i * 7 % 113} and more" for i in range(600)]
+    docs = spark.createDataFrame([(None if i % 3 == 0 else 5 if i % 3 == 1 else i, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    runs = [r["n"] for r in fingerprints.in_blocks(docs, 12)[0].where("NOT extra").groupBy("block").agg(F.count("*").alias("n")).collect()]
+    assert sum(runs) == 600 and len(runs) > 8 and max(runs) <= 150
+    got = Counter(tuple(r) for r in fingerprints.compare_with_next(docs, 12).collect())
+    assert got == Counter(tuple(r) for r in fingerprints.compare_with_next(docs, 1).collect())
+    assert sum(got.values()) == 600
+
+
+def test_pieces_that_never_fit_together_end_in_blocks(spark, tmp_path, monkeypatch):
+    """No task packs more than its block of pieces, and all pieces are placed."""
+    packed, seen = packing._packed, tmp_path.as_posix()
+
+    def noted(rows, capacity):
+        with open(f"{seen}/{len(rows)}", "w"):
+            return packed(rows, capacity)
+
+    monkeypatch.setattr(packing, "_packed", noted)
+    for step in (13, 29):  # of 2 100 to 4 000 tokens; with some that fit here and there
+        lengths = [2_100 + i * step % 1_900 if i % 9 or step == 13 else 300 + i for i in range(400)]
+        table = spark.createDataFrame([(i, 0, 0, n, 0) for i, n in enumerate(lengths)], packing.PIECES)
+        got = packing.pack(table, block_rows=50).collect()
+        fill = Counter()
+        for r in got:
+            fill[r.sequence_id] += r.length
+        assert len(got) == 400 and max(fill.values()) <= 4096
+        assert step == 29 or len(fill) == 400
+    assert max(int(p.name) for p in tmp_path.iterdir()) < 100
