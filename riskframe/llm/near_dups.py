@@ -11,10 +11,12 @@ labelled shingles of least hash and keeps them in text order; two texts meet
 where a sketch is equal, and are candidates when ``AGREE`` = 2 sketches agree and
 their lengths allow the similarity.  Of pairs at similarity 0.8 this loses (exact
 binomials) about 2 in a million that share 40 of 50 shingles and 4 in 100 000
-that share 8 of 10.  Pairs of at most ``FEW`` shingles need no sketch: one can
-only lack a single shingle of the other, so each text of few shingles looks up
-the texts it becomes without one of them, and none is lost.  Verification aligns
-the sequences in the band that the similarity leaves.
+that share 8 of 10.  Pairs in which one text lacks a single shingle of the other,
+which has at most ``FEW``, need no sketch: each text of few shingles looks up the
+texts it becomes without one of them, and none is lost.  Of pairs of at most
+``FEW`` shingles that leaves those of nine against nine that share eight, which
+the sketches find.  Verification aligns the sequences in the band that the
+similarity leaves.
 
 Equal texts are one node.  Work on a bucket of equal sketches goes by leaders:
 each text is first verified against one leader, of those that lead its
