@@ -164,11 +164,13 @@ def class_weights(df: DataFrame, target: str = "target") -> DataFrame:
                          F.try_divide(n0.cast("double"), n1).alias("ratio"))
 
 
-def with_class_weights(df: DataFrame, target: str = "target", out: str = "weight") -> DataFrame:
-    """Attach balanced class weights as a column (for ``weightCol``)."""
+def with_class_weights(df: DataFrame, target: str = "target", out: str = "weight", classes: int | None = None) -> DataFrame:
+    """Attach balanced class weights as a column (for ``weightCol``).  Where the
+    number of ``classes`` is given the rows stay where they are; an exchange by
+    class would leave as many tasks as there are classes."""
     w = class_weights(df, target).select(target, F.col("weight").alias(out))
     # one row per class
-    return small_join(df, w, on=target, how="left")
+    return small_join(df, w, on=target, how="left", known_rows=classes)
 
 
 def category_union(a: DataFrame, b: DataFrame, keys: Sequence[str] = ("column", "value"),

@@ -44,6 +44,8 @@ GRIDS = {
     "gradient_boosting": {"maxIter": [100, 200], "maxDepth": [4, 6], "stepSize": [0.05, 0.1]},
 }
 TUNING_FOLDS = 2
+#: rows that a task of an iterative fit has at least before the table is dealt to more tasks
+TASK_ROWS = 20_000
 
 
 def _features(numeric: Sequence[str], categorical: Sequence[str], encode: str = "onehot",
@@ -104,14 +106,24 @@ def score(model: PipelineModel, df: DataFrame, name: str, label: str = "label",
                       F.col("prediction").cast("int").alias("prediction"), *keep)
 
 
+def spread(df: DataFrame, n: int) -> DataFrame:
+    """``df`` of ``n`` rows over all cores, where it has fewer tasks: learners pass
+    over their rows hundreds of times in the tasks in which they find them."""
+    wanted = min(df.sparkSession.sparkContext.defaultParallelism, n // TASK_ROWS)
+    return df.repartition(wanted) if wanted > df.rdd.getNumPartitions() else df
+
+
 def train_models(train: DataFrame, numeric: Sequence[str], categorical: Sequence[str] = (),
                  label: str = "label", kinds: Sequence[str] = ("logistic_regression", "random_forest",
                                                                "gradient_boosting"),
                  balanced: bool = False) -> tuple[dict, dict]:
     """Fit every model kind; a failing model is isolated: ``(models, errors)``."""
-    data = (with_class_weights(train, label, "weight") if balanced else train).persist()
+    n, classes = train.agg(F.count(F.lit(1)), F.count_distinct(label)).first()
+    data = train
+    if balanced:  # a table for one task stays as the join leaves it
+        data = with_class_weights(train, label, "weight", classes if n > TASK_ROWS else None)
+    data = spread(data, n).persist()
     try:   # iterative learners re-read their input many times: persist it only around the fits
-        n = data.count()
         models, errors = {}, {}
         for k in kinds:
             try:
