@@ -15,6 +15,7 @@ value that many rows share.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator, Sequence
 
 import numpy as np
@@ -71,9 +72,9 @@ def _products(mean: np.ndarray, spread: np.ndarray):
     return products
 
 
-def _correlation(values: DataFrame, columns: Sequence[str]) -> DataFrame:
+def _correlation(values: DataFrame, columns: Sequence[str], centres: tuple[np.ndarray, np.ndarray] | None = None) -> DataFrame:
     """(var1, var2, r): null where a side is constant on the pair's rows."""
-    mean, spread = _centres(values)
+    mean, spread = centres or _centres(values)
     parts = values.mapInArrow(_products(mean, spread), "i int, j int, " + ", ".join(f"{m} double" for m in _MOMENTS))
     s = parts.groupBy("i", "j").agg(*[F.sum(m).alias(m) for m in _MOMENTS])
     vx, vy = (F.col("n") * F.col(f"s{v}{v}") - F.col(f"s{v}") ** 2 for v in "xy")
@@ -103,8 +104,21 @@ def _looked_up(tables: dict[str, tuple[np.ndarray, np.ndarray]], names: Sequence
     return looked_up
 
 
-def ranked(values: DataFrame) -> DataFrame:
-    """``values`` (complete rows of c0, c1, …) with each value as its tie-averaged rank in its column.
+def _rank_centres(ranks: DataFrame, width: int) -> tuple[np.ndarray, np.ndarray]:
+    """``_centres`` of the ranks, from the table of distinct values: the mean is that of 1 … n."""
+    mean, spread = np.zeros(width), np.ones(width)
+    off = (F.col("rank") - (F.col("n") + 1) / 2) / F.col("n")  # under 1: squares of whole ranks would lose digits
+    sized = ranks.join(F.broadcast(ranks.groupBy("j").agg(F.sum("_n").alias("n"))), "j")  # a row a column
+    for r in sized.groupBy("j").agg(F.first("n").alias("n"), F.sum(F.col("_n") * off * off).alias("s"), F.count(F.lit(1)).alias("levels")).collect():
+        mean[r["j"]] = (r["n"] + 1) / 2
+        if r["levels"] > 1:
+            spread[r["j"]] = max(1e-9, math.sqrt(r["s"] / r["n"])) * r["n"]
+    return mean, spread
+
+
+def ranked(values: DataFrame) -> tuple[DataFrame, tuple[np.ndarray, np.ndarray]]:
+    """``values`` (complete rows of c0, c1, …) with each value as its tie-averaged rank in its column,
+    and the ranks' mean and standard deviation.
 
     Columns of few distinct values (``LOOKUP`` in all) are looked up in their
     small rank tables where the rows are; the others go through the two shuffles."""
@@ -116,7 +130,7 @@ def ranked(values: DataFrame) -> DataFrame:
         total += size
         if total <= LOOKUP:
             few.add(c)
-    ranks = running_totals(counts, ["j"], "v", ["_n"]).select("j", "v", (F.col("cum__n") - (F.col("_n") - 1) / 2.0).alias("rank"))
+    ranks = written(running_totals(counts, ["j"], "v", ["_n"]).select("j", "v", "_n", (F.col("cum__n") - (F.col("_n") - 1) / 2.0).alias("rank")))
     small = ranks.where(F.col("j").isin([int(c[1:]) for c in few])).toPandas() if few else None  # at most LOOKUP rows
     tables = {}
     for c in few:
@@ -129,10 +143,10 @@ def ranked(values: DataFrame) -> DataFrame:
         first = int(many[0][1:])
         # the values that are looked up travel with one of the others
         long = _long(rows, many, "row", *kept).select("row", "j", "v", *[F.when(F.col("j") == first, F.col(c)).alias(c) for c in kept])
-        back = long.join(ranks, ["j", "v"]).groupBy("row").agg(
+        back = long.join(ranks.select("j", "v", "rank"), ["j", "v"]).groupBy("row").agg(
             *[F.max(F.when(F.col("j") == int(c[1:]), F.col("rank"))).alias(c) for c in many], *[F.max(c).alias(c) for c in kept])
         values = back.select(*names)
-    return values.mapInArrow(_looked_up(tables, names), ", ".join(f"{c} double" for c in names))
+    return values.mapInArrow(_looked_up(tables, names), ", ".join(f"{c} double" for c in names)), _rank_centres(ranks, len(names))
 
 
 def correlation_matrix(df: DataFrame, columns: Sequence[str], method: str = "pearson") -> DataFrame:
@@ -142,8 +156,11 @@ def correlation_matrix(df: DataFrame, columns: Sequence[str], method: str = "pea
     if len(columns) < 2:
         return _none(df)
     values = as_doubles(df, columns, complete=True)
-    # the ranks are read twice, for their centres and for their products
-    return _correlation(values if method == "pearson" else written(ranked(values)), columns)
+    if method == "pearson":
+        return _correlation(values, columns)
+    # the ranks of the rows are read once, for their products
+    ranks, centres = ranked(values)
+    return _correlation(ranks, columns, centres)
 
 
 def pearson_pairs(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:

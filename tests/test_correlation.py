@@ -92,3 +92,12 @@ def test_kendall_is_that_of_all_pairs(spark, kind):
     con, dis, tx, ty, tau = tau_b(np.asarray(x, float), np.asarray(y, float))
     assert (got["n"], got["concordant"], got["discordant"], got["ties_x"], got["ties_y"]) == (len(x), con, dis, tx, ty)
     assert got["tau_b"] is None if tau is None else abs(got["tau_b"] - tau) < 1e-12
+
+
+def test_centres_of_ranks_come_from_the_distinct_values(spark, table):
+    own = table[["a", "b", "const"]].dropna()
+    values = C.as_doubles(spark.createDataFrame(own), list(own.columns), complete=True)
+    ranks, (mean, spread) = C.ranked(values)
+    want = own.rank().to_numpy()
+    assert sorted(map(tuple, ranks.collect())) == sorted(map(tuple, want))
+    assert np.allclose(mean, want.mean(axis=0)) and np.allclose(spread[:2], want.std(axis=0)[:2]) and spread[2] == 1
