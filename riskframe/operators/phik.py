@@ -86,11 +86,16 @@ def from_chi2(chi2: float, n: int, rows: int, columns: int) -> float | None:
     return (low + high) / 2
 
 
-def _cells(codes: list[tuple[int, int]]):
-    """Counts of the cells of all pairs in each batch of codes (-1: no value)."""
+def _cells(codes: list[tuple[int, int]], levels: dict[int, pa.Array]):
+    """Counts of the cells of all pairs in each batch; a text value's code is its
+    place in its column's list of levels (-1: no value)."""
+    def code_of(i: int, values: pa.Array) -> np.ndarray:
+        places = pc.index_in(values.cast(pa.string()), levels[i]) if i in levels else values
+        return pc.fill_null(places, -1).to_numpy(zero_copy_only=False).astype(np.int64)
+
     def cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            code = [c.to_numpy(zero_copy_only=False).astype(np.int64) for c in batch.columns]
+            code = [code_of(i, c) for i, c in enumerate(batch.columns)]
             out = []
             for i, j, width in pairs:
                 both = (code[i] >= 0) & (code[j] >= 0)
@@ -105,16 +110,6 @@ def _cells(codes: list[tuple[int, int]]):
     return cells
 
 
-def _coded(levels: dict[int, pa.Array]):
-    """Text values as places in their column's list of levels."""
-    def coded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            columns = [pc.fill_null(pc.index_in(c.cast(pa.string()), levels[i]), -1) if i in levels else pc.fill_null(c, -1)
-                       for i, c in enumerate(batch.columns)]
-            yield pa.RecordBatch.from_arrays([c.cast(pa.int32()) for c in columns], names=batch.schema.names)
-    return coded
-
-
 def _solved(table: pd.DataFrame) -> pd.DataFrame:
     n = int(table["n"].sum())
     row, column = table.groupby("a")["n"].sum(), table.groupby("b")["n"].sum()
@@ -173,9 +168,9 @@ def phik_matrix(df: DataFrame, columns: Sequence[str] | None = None, bins: int =
         return every.select(*head, *[F.lit(None).cast(t).alias(c) for c, t in (("rows", "long"), ("levels1", "int"), ("levels2", "int"), ("phi_k", "double"))])
     at = {n: k for k, n in enumerate(used)}
     size = [(at[n], bins if n in numeric else max(1, len(levels[n]))) for n in used]
-    codes = rows.select(*[bin_of(n) if n in numeric else F.col(n) for n in used]).mapInArrow(
-        _coded({at[n]: pa.array(v, pa.string()) for n, v in levels.items()}), ", ".join(f"{n} int" for n in used))
-    tables = codes.mapInArrow(_cells(size), "i int, j int, a int, b int, n long").groupBy("i", "j", "a", "b").agg(F.sum("n").alias("n"))
+    # coded and counted in one Python worker a task: two would hold their libraries and batches twice
+    counted = _cells(size, {at[n]: pa.array(v, pa.string()) for n, v in levels.items()})
+    tables = rows.select(*[bin_of(n) if n in numeric else F.col(n) for n in used]).mapInArrow(counted, "i int, j int, a int, b int, n long").groupBy("i", "j", "a", "b").agg(F.sum("n").alias("n"))
     solved = tables.groupBy("i", "j").applyInPandas(_solved, schema)
     place = F.array(*[F.lit(int(n[1:])) for n in used])
     solved = written(solved.select(F.get(place, F.col("i")).alias("i"), F.get(place, F.col("j")).alias("j"), "rows", "levels1", "levels2", "phi_k"))

@@ -4,6 +4,7 @@ import math
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import pytest
 
 from riskframe.operators import phik as P
@@ -105,3 +106,9 @@ def test_empty_table_and_single_column(spark):
     empty = spark.createDataFrame([], "a int, b string, c double")
     assert [r["phi_k"] for r in P.phik_matrix(empty).collect()] == [None] * 3
     assert P.phik_matrix(empty, ["a"]).count() == 0
+
+
+def test_text_is_coded_and_counted_in_one_worker():
+    batch = pa.record_batch({"c0": pa.array([0, 1, None, 1], pa.int32()), "c1": pa.array(["y", "x", "x", None])})
+    out = pa.Table.from_batches(P._cells([(0, 2), (1, 2)], {1: pa.array(["x", "y"])})([batch]))
+    assert out.to_pylist() == [{"i": 0, "j": 1, "a": 0, "b": 1, "n": 1}, {"i": 0, "j": 1, "a": 1, "b": 0, "n": 1}]
