@@ -24,15 +24,19 @@ class WordIds:
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
+        from tokenizers.pre_tokenizers import WhitespaceSplit
         self.tokenizer = Tokenizer.from_file(path)
+        # for lower-case ASCII words with blanks between them: nothing to normalise, nothing else to split at
+        self.plain = Tokenizer.from_file(path)
+        self.plain.normalizer, self.plain.pre_tokenizer = None, WhitespaceSplit()
         self.runs: dict[str, bytes] = {}
         self.words: dict[str, bytes] = {}
 
     def _direct(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
 
-    def _learn_words(self, new: list[str]) -> None:
-        coded = self.tokenizer.encode(" ".join(new), add_special_tokens=False)
+    def _learn_words(self, new: list[str], coder) -> None:
+        coded = coder.encode(" ".join(new), add_special_tokens=False)
         ids, of = np.array(coded.ids, dtype="<u4"), np.array(coded.word_ids, dtype=np.int64)
         ends = np.flatnonzero(np.append(of[1:] != of[:-1], True)) + 1 if len(of) else np.zeros(0, np.int64)
         if len(ends) != len(new):
@@ -51,22 +55,34 @@ class WordIds:
         if len(self.words) > REMEMBERED:
             self.words.clear()
         self.runs[""] = b""
-        split, new = [], set()
-        for run in runs.difference(self.runs):
+        known, words = self.runs, self.words
+        split, new, plain = [], set(), set()
+        for run in runs.difference(known):
+            if run.isascii() and run.isalpha():
+                low = run.lower()
+                ids = words.get(low)
+                if ids is None:
+                    plain.add(low)
+                    split.append((run, low, ""))
+                else:
+                    known[run] = ids
+                continue
             word = run.rstrip(MARKS)
             if word.isalpha() and word and max(word) < "ƀ":
                 low, tail = word.lower(), run[len(word):]
                 split.append((run, low, tail))
-                if low not in self.words:
-                    new.add(low)
+                if low not in words:
+                    (plain if low.isascii() else new).add(low)
                 if tail and tail not in self.words:
                     self.words[tail] = self._direct(tail)
             else:
                 self.runs[run] = self._direct(run)
+        if plain:
+            self._learn_words(list(plain), self.plain)
         if new:
-            self._learn_words(list(new))
+            self._learn_words(list(new), self.tokenizer)
         for run, low, tail in split:
-            self.runs[run] = self.words[low] + self.words[tail] if tail else self.words[low]
+            known[run] = words[low] + words[tail] if tail else words[low]
 
     def learn_texts(self, texts) -> None:
         """Remember the runs of several texts with one call of the tokenizer."""
