@@ -10,7 +10,7 @@ from __future__ import annotations
 import numpy as np
 
 #: remembered runs in one worker; beyond it the memory starts anew
-REMEMBERED = 300_000
+REMEMBERED = 400_000
 #: ASCII marks that the tokenizer always splits from letters before them
 MARKS = ".,!?;:%#&*$|"
 #: texts from this length on are learned by themselves
@@ -35,17 +35,17 @@ class WordIds:
     def _direct(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
 
-    def _learn_words(self, new: list[str], coder) -> None:
+    def _learn_words(self, new: list[str], coder, home: dict[str, bytes]) -> None:
         coded = coder.encode(" ".join(new), add_special_tokens=False)
         ids, of = np.array(coded.ids, dtype="<u4"), np.array(coded.word_ids, dtype=np.int64)
         ends = np.flatnonzero(np.append(of[1:] != of[:-1], True)) + 1 if len(of) else np.zeros(0, np.int64)
         if len(ends) != len(new):
             for w in new:
-                self.words[w] = self._direct(w)
+                home[w] = self._direct(w)
             return
         raw, begin = ids.tobytes(), 0
         for w, end in zip(new, (ends * 4).tolist()):
-            self.words[w] = raw[begin:end]
+            home[w] = raw[begin:end]
             begin = end
 
     def learn(self, runs: set[str]) -> None:
@@ -60,29 +60,29 @@ class WordIds:
         for run in runs.difference(known):
             if run.isascii() and run.isalpha():
                 low = run.lower()
-                ids = words.get(low)
-                if ids is None:
+                if low not in known:
                     plain.add(low)
-                    split.append((run, low, ""))
-                else:
-                    known[run] = ids
+                if low != run:
+                    split.append((run, low, "", known))
                 continue
             word = run.rstrip(MARKS)
             if word.isalpha() and word and max(word) < "ƀ":
                 low, tail = word.lower(), run[len(word):]
-                split.append((run, low, tail))
-                if low not in words:
-                    (plain if low.isascii() else new).add(low)
+                # a lower-case ASCII word is a run itself
+                home, wanted = (known, plain) if low.isascii() else (words, new)
+                split.append((run, low, tail, home))
+                if low not in home:
+                    wanted.add(low)
                 if tail and tail not in self.words:
                     self.words[tail] = self._direct(tail)
             else:
                 self.runs[run] = self._direct(run)
         if plain:
-            self._learn_words(list(plain), self.plain)
+            self._learn_words(list(plain), self.plain, known)
         if new:
-            self._learn_words(list(new), self.tokenizer)
-        for run, low, tail in split:
-            known[run] = words[low] + words[tail] if tail else words[low]
+            self._learn_words(list(new), self.tokenizer, words)
+        for run, low, tail, home in split:
+            known[run] = home[low] + words[tail] if tail else home[low]
 
     def learn_texts(self, texts) -> None:
         """Remember the runs of several texts with one call of the tokenizer."""

@@ -16,3 +16,4 @@ def test_plain_words_skip_the_normaliser():
     whole, coder.tokenizer = coder.tokenizer, None  # no plain word goes there
     got = coder.ids("The Quick brown fox thelyouble fox FOX")
     assert got == np.array(whole.encode("The Quick brown fox thelyouble fox FOX", add_special_tokens=False).ids, dtype="<u4").tobytes()
+    assert not coder.words and {"the", "fox", "FOX", "thelyouble"} <= set(coder.runs)  # a plain word is remembered once
