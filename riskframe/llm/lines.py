@@ -236,6 +236,8 @@ def with_deletions(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
             yield pd.DataFrame(rows, columns=["kept", "deleted", "sources"])
 
     own, hashed = identity(key, text)
+    # as nondeterministic no condition on the result is moved below it, where it would cut every text a second time
+    cut = cut.asNondeterministic()
     found = shared_lines(docs, key, text).select(F.col("id").alias("__id"), F.col("hash").alias("__hash"), F.col("found").alias("__found"))
     got = docs.withColumn("__id", own).withColumn("__hash", hashed).join(found, ["__id", "__hash"], "left")
     got = got.withColumn("__cut", cut(F.col(f"`{text}`"), F.col("__found")))

@@ -293,6 +293,15 @@ def test_line_dedup_of_odd_rows(odd, none):
     assert lines.deduped(none).count() == 0
 
 
+def test_texts_are_cut_once(spark):
+    long = "a line of quite enough words to be telling by itself"
+    docs = spark.createDataFrame([(1, long), (2, long), (3, f"{long}\nits own line"), (4, None)], "doc_id long, text string")
+    kept = lines.deduped(docs)
+    # a condition moved below the cut would align every text in a second Python worker
+    assert kept._jdf.queryExecution().executedPlan().toString().count("ArrowEvalPython") == 1
+    assert sorted(map(tuple, kept.collect())) == [(1, long), (3, "its own line"), (4, None)]
+
+
 def test_pipeline_stages(spark, odd, none, tmp_path):
     docs = odd.drop("id")
     for start in (docs, none.drop("id")):
