@@ -396,8 +396,7 @@ def kde_peak_lines(spark, sf_dir):
 
 @register("phik_lines")
 def phik_lines(spark, sf_dir):
-    """phi_K of all column pairs of the loan table (its keys have too many
-    levels at size and are listed as not compared where they are text)."""
+    """phi_K of all column pairs of the loan table."""
     return P.phik_matrix(I.loan_table(spark, sf_dir)).select("var1", "var2", "rows", "levels1", "levels2", _r("phi_k", 4))
 
 
