@@ -11,13 +11,16 @@ from __future__ import annotations
 
 import itertools
 import json
+import math
 import time
 import uuid
 from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor, as_completed
 
+import numpy as np
+import pandas as pd
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
+from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassificationModel, RandomForestClassifier
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.feature import OneHotEncoder, StandardScaler, StringIndexer, TargetEncoder, VectorAssembler
 from pyspark.ml.functions import vector_to_array
@@ -28,6 +31,7 @@ from pyspark.util import inheritable_thread_target
 
 from ..sources.files import _fs
 from .cleaning import with_class_weights
+from .core import col
 from .metrics import binary_metrics, model_comparison
 
 # ---------------------------------------------------------------------------
@@ -49,6 +53,10 @@ TUNING_FOLDS = 2
 TASK_ROWS = 20_000
 #: larger tables are fitted one point of a grid at a time: the learner keeps its own copy of the rows
 SIDE_BY_SIDE = 2_000_000
+#: trees are grown on the counted cells of tables of more rows, where rows of a cell are CELL_SHARE or more on average
+CELL_ROWS, CELL_SHARE = 2_000_000, 4
+#: values that a tree tells apart in a numeric column (Spark's ``maxBins``), and the shares of a class at which they are sought
+BINS, SHARES = 32, 512
 
 
 def _features(numeric: Sequence[str], categorical: Sequence[str], encode: str = "onehot",
@@ -116,26 +124,150 @@ def spread(df: DataFrame, n: int) -> DataFrame:
     return df.repartition(wanted) if wanted > df.rdd.getNumPartitions() else df
 
 
+def _nearest(data: DataFrame, numeric: Sequence[str], label: str, weight: str | None) -> dict[str, list[float]]:
+    """Up to ``BINS`` values of each numeric column that stand for the others: all of
+    a column of so few, else the quantiles by weight in the middle of equal shares."""
+    def finite(c: str):
+        v = col(c).cast("double")
+        return F.when(~F.isnan(v) & (F.abs(v) != F.lit(float("inf"))), v)
+
+    sizes = data.agg(F.lit(0), *[F.approx_count_distinct(finite(c), 0.02) for c in numeric]).first()[1:]
+    few = [c for c, n in zip(numeric, sizes) if n <= 1.2 * BINS]
+    sets = data.agg(F.lit(0), *[F.collect_set(finite(c)) for c in few]).first()[1:]   # at most about 1.2 BINS values each
+    found = {c: sorted(v) for c, v in zip(few, sets) if len(v) <= BINS}
+    rest = [c for c in numeric if c not in found]
+    if rest:
+        share = F.array(*[F.lit((i + 0.5) / SHARES) for i in range(SHARES)])
+        own = F.lit(1.0) if weight is None else col(weight)
+        classes = data.groupBy(col(label).alias("_class")).agg(*[f for c in rest for f in (
+            F.percentile_approx(finite(c), share, 10_000), F.sum(F.when(finite(c).isNotNull(), own)))]).collect()   # a row a class
+        for i, c in enumerate(rest):
+            parts = [(r[1 + 2 * i], r[2 + 2 * i]) for r in classes if r[1 + 2 * i]]
+            values = np.concatenate([np.asarray(v) for v, _ in parts])
+            mass = np.concatenate([np.full(len(v), w / len(v)) for v, w in parts])
+            order = np.argsort(values, kind="stable")
+            below = np.cumsum(mass[order])
+            at = np.searchsorted(below, (np.arange(BINS) + 0.5) / BINS * below[-1])
+            found[c] = sorted(set(values[order][np.minimum(at, len(values) - 1)].tolist()))
+    return found
+
+
+def counted_cells(data: DataFrame, n: int, numeric: Sequence[str], categorical: Sequence[str], label: str,
+                  weight: str | None) -> DataFrame | None:
+    """The ``n`` rows of ``data`` as cells of equal rows with their number as ``_rows``, numeric
+    values replaced by the nearest of ``_nearest``; none where that leaves too many cells.
+
+    Learners of trees cut a column into ``BINS`` bins and see no more of a value.
+    They put the cuts half way between the values that they find, which is just where the
+    nearest value changes: a tree grown on the cells cuts the rows themselves alike.
+    A missing number stands with the largest, as trees read NaN."""
+    def stands(c: str, values: list[float]):
+        if not values:
+            return F.lit(None).cast("double").alias(c)
+        e = F
+        for low, high in zip(values, values[1:]):
+            e = e.when(col(c).cast("double") <= F.lit((low + high) / 2.0), F.lit(low))
+        return (F.lit(values[-1]) if e is F else e.otherwise(F.lit(values[-1]))).alias(c)
+
+    keys = [*numeric, *categorical, label, *([weight] if weight else [])]
+    nearest = _nearest(data, numeric, label, weight)
+    rows = data.select(*[stands(c, nearest[c]) for c in numeric], *[col(c) for c in keys[len(numeric):]])
+    if rows.agg(F.approx_count_distinct(F.xxhash64(*[col(c) for c in keys]), 0.02)).first()[0] > n // CELL_SHARE:
+        return None
+    return rows.groupBy(*[col(c) for c in keys]).agg(F.count(F.lit(1)).alias("_rows"))
+
+
+def _draws(rows: pd.Series, keys: pd.Series, trees: int) -> pd.Series:
+    """How often each tree's bootstrap sample holds the rows of a cell: a row is drawn by
+    Poisson's law of mean 1, as the forest does it, and so ``rows`` of them by that of mean ``rows``."""
+    return pd.Series([np.random.Generator(np.random.Philox(key=k & (1 << 64) - 1)).poisson(r, trees) for r, k in zip(rows, keys)])
+
+
+def _forest(clf: RandomForestClassifier, cells: DataFrame, keys: Sequence[str], label: str, weight: str, parallelism: int = 4) -> RandomForestClassificationModel:
+    """``clf`` grown tree by tree on counted cells: the bootstrap draws rows, not cells."""
+    trees, features = clf.getNumTrees(), clf.getFeaturesCol()
+
+    @F.pandas_udf("array<long>")
+    def draws(rows: pd.Series, keys: pd.Series) -> pd.Series:
+        return _draws(rows, keys, trees)
+
+    drawn = cells.select(features, label, weight, draws("_rows", F.xxhash64(*[col(c) for c in keys], F.lit(clf.getSeed()))).alias("_draws")).persist()
+    try:
+        # a sample may lack a class, its tree may not
+        classes = {"ml_attr": {"type": "nominal", "vals": [str(i) for i in range(int(drawn.agg(F.max(label)).first()[0]) + 1)]}}
+
+        def grow(t: int) -> RandomForestClassificationModel:
+            one = clf.copy({clf.numTrees: 1, clf.bootstrap: False, clf.seed: clf.getSeed() + t, clf.weightCol: "_w",
+                            clf.featureSubsetStrategy: "sqrt"})   # what "auto" is for several trees
+            sample = drawn.where(F.col("_draws")[t] > 0).select(features, col(label).alias(label, metadata=classes), (col(weight) * F.col("_draws")[t]).alias("_w"))
+            return one.fit(sample)
+
+        with ThreadPoolExecutor(max_workers=parallelism) as pool:
+            grown = list(pool.map(inheritable_thread_target(cells.sparkSession)(grow), range(trees)))
+    finally:
+        drawn.unpersist()
+    sc = cells.sparkSession.sparkContext
+    package = sc._jvm.org.apache.spark.ml.classification
+    kept = sc._gateway.new_array(package.DecisionTreeClassificationModel, trees)
+    for t, m in enumerate(grown):
+        kept[t] = m.trees[0]._java_obj
+    java = package.RandomForestClassificationModel(clf.uid, kept, grown[0].numFeatures, grown[0].numClasses)
+    model = clf._copyValues(RandomForestClassificationModel(java))
+    model._transfer_params_to_java()
+    return model
+
+
+def fit_on_cells(pipe: Pipeline, data: DataFrame, cells: DataFrame, label: str, weight: str | None) -> PipelineModel:
+    """``pipe`` with its feature stages fitted on all rows of ``data`` and its trees on their ``cells``."""
+    *made, clf = pipe.getStages()
+    keys = [c for c in cells.columns if c != "_rows"]
+    features = Pipeline(stages=made).fit(data)
+    each = col(weight) if weight else F.lit(1.0)
+    table = features.transform(cells.withColumn("_each", each))
+    # so many bins that the values are found in all cells instead of a sample; columns have no more than BINS
+    clf = clf.copy({clf.maxBins: max(BINS, math.isqrt(cells.count()) + 1)})
+    if isinstance(clf, RandomForestClassifier):
+        model = _forest(clf, table, keys, label, "_each")
+    else:
+        model = clf.setWeightCol("_w").fit(table.withColumn("_w", F.col("_each") * F.col("_rows")))
+    return PipelineModel([*features.stages, model])
+
+
 def train_models(train: DataFrame, numeric: Sequence[str], categorical: Sequence[str] = (),
                  label: str = "label", kinds: Sequence[str] = ("logistic_regression", "random_forest",
                                                                "gradient_boosting"),
                  balanced: bool = False) -> tuple[dict, dict]:
-    """Fit every model kind; a failing model is isolated: ``(models, errors)``."""
+    """Fit every model kind; a failing model is isolated: ``(models, errors)``.  Trees of
+    large tables are grown on ``counted_cells``, where these are few."""
     n, classes = train.agg(F.count(F.lit(1)), F.count_distinct(label)).first()
     data = train
+    weight = "weight" if balanced else None
     if balanced:  # a table for one task stays as the join leaves it
         data = with_class_weights(train, label, "weight", classes if n > TASK_ROWS else None)
+    if n > CELL_ROWS:
+        data = data.select(*[col(c) for c in dict.fromkeys([*numeric, *categorical, label, *([weight] if weight else [])])])
     data = spread(data, n).persist()
+    cells, counted = None, n <= CELL_ROWS
     try:   # iterative learners re-read their input many times: persist it only around the fits
         models, errors = {}, {}
         for k in kinds:
             try:
-                models[k] = build_pipeline(k, numeric, categorical, label, "weight" if balanced else None,
-                                           n=n).fit(data)
+                pipe = build_pipeline(k, numeric, categorical, label, weight, n=n)
+                if k != "logistic_regression" and not counted:
+                    counted = True
+                    found = counted_cells(data, n, numeric, categorical, label, weight)
+                    if found is not None:
+                        found = found.persist()
+                        cells = found.repartition(max(1, min(found.sparkSession.sparkContext.defaultParallelism, found.count() // TASK_ROWS))).persist()
+                        cells.count()
+                        found.unpersist()
+                models[k] = pipe.fit(data) if cells is None or k == "logistic_regression" else fit_on_cells(pipe, data, cells, label, weight)
             except Exception as e:  # isolate the failing model, as the reference does
                 errors[k] = f"{type(e).__name__}: {e}"
     finally:
         data.unpersist()
+        if cells is not None:
+            cells.unpersist()
     return models, errors
 
 
